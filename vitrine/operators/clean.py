@@ -41,6 +41,10 @@ def _replace(df: DataFrame, changes: dict[str, Column]) -> DataFrame:
     return df.select(*kept, *[c.alias(n) for n, c in changes.items() if n not in df.columns])
 
 
+def _column(value: Column | int) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 def _number(c: Column, dtype: T.DataType) -> Column:
     return c if isinstance(dtype, T.NumericType) else c.try_cast("double")
 
@@ -138,7 +142,7 @@ def default_values(region: str = REGION, source: str | None = None) -> dict[str,
 
 
 def defaults(
-    df: DataFrame, region: str = REGION, source: str | None = None, scraped_at: Column | None = None
+    df: DataFrame, region: str = REGION, source: str | None = None, scraped_at: Column | int | None = None
 ) -> DataFrame:
     """Fill what is null or absent; what is there stays."""
     have = _types(df)
@@ -148,7 +152,7 @@ def defaults(
             changes[name] = F.coalesce(F.col(name), value.cast(have[name]))
         else:
             changes[name] = value.cast("string") if name == "source" else value
-    now = F.unix_timestamp() if scraped_at is None else scraped_at
+    now = F.unix_timestamp() if scraped_at is None else _column(scraped_at)
     changes["scraped_at"] = F.coalesce(F.col("scraped_at"), now.cast(have["scraped_at"])) if "scraped_at" in have else now
 
     price = have.get("price_data")
@@ -269,7 +273,7 @@ def clean_description(c: Column) -> Column:
 
 
 def clean_products(
-    df: DataFrame, region: str = REGION, source: str | None = None, scraped_at: Column | None = None
+    df: DataFrame, region: str = REGION, source: str | None = None, scraped_at: Column | int | None = None
 ) -> DataFrame:
     """validate -> defaults -> clean, with the ``corrections`` made to each row."""
     return (

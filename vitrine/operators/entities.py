@@ -32,10 +32,10 @@ def price_changes(
         .agg(F.max_by(F.struct(F.col(price).alias("p")), F.struct(*order)).alias("_last"))
     )
     across = Window.partitionBy(*keys).orderBy("_piece")
-    ends = ends.select(*keys, "_piece", F.lag("_last").over(across)["p"].alias("_carried"))
-    null_safe = [rows[k].eqNullSafe(ends[k]) for k in (*keys, "_piece")]
-    joined = rows.join(ends, null_safe, "left").select(
-        *[rows[c] for c in history.columns], "_before", "_nth", "_carried")
+    ends = ends.select(
+        *[F.col(k).alias(f"_end_{k}") for k in (*keys, "_piece")], F.lag("_last").over(across)["p"].alias("_carried"))
+    same = [F.col(k).eqNullSafe(F.col(f"_end_{k}")) for k in (*keys, "_piece")]
+    joined = rows.join(ends, same, "left")
     previous = F.when(F.col("_nth") == 1, F.col("_carried")).otherwise(F.col("_before"))
     return joined.select(
         *history.columns,

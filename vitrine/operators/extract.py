@@ -637,7 +637,7 @@ def _variant_text(c: Column) -> Column:
 
 def product_rows(
     pages: DataFrame,
-    scraped_at: Column | None = None,
+    scraped_at: Column | int | None = None,
     region: str = "krasnodar",
     source: str | None = None,
 ) -> DataFrame:
@@ -717,7 +717,7 @@ def product_rows(
         "region": F.lit(region),
         "product_url": F.col("url"),
         "sku": some(F.col("sku")),
-        "scraped_at": F.unix_timestamp() if scraped_at is None else scraped_at,
+        "scraped_at": F.unix_timestamp() if scraped_at is None else scraped_at if isinstance(scraped_at, Column) else F.lit(scraped_at),
         "source": F.lit(source),
         "marketing_tags": F.col("marketing_tags"),
         "attributes": F.map_from_entries(entries),

@@ -119,7 +119,7 @@ def json_field_stats(raw: DataFrame, order: Column, text: str = "value") -> Data
     that is not null.
     """
     parsed = raw.select(order.alias("at"), F.try_parse_json(F.col(text)).alias("doc"))
-    total = parsed.agg(F.count("doc").alias("total"))
+    total = parsed.agg(F.count("doc")).scalar()
     entries = parsed.select(
         "at", F.explode(F.expr("try_variant_get(doc, '$', 'map<string,variant>')")).alias("field", "v"))
     stats = entries.select("at", "field", F.expr(json_kind("v")).alias("kind"),
@@ -128,7 +128,7 @@ def json_field_stats(raw: DataFrame, order: Column, text: str = "value") -> Data
         F.count_if(F.col("kind") != "null").alias("non_null"),
         F.min_by("kind", F.when(F.col("kind") != "null", F.col("at"))).alias("first_kind"),
     )
-    return stats.crossJoin(total).select(
+    return stats.withColumn("total", total).select(
         "field", "filled", "non_null", "total", (F.col("filled") / F.col("total") * 100).alias("percentage"),
         F.coalesce("first_kind", F.lit("null")).alias("type"),
     ).orderBy("field")
