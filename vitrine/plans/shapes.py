@@ -134,7 +134,7 @@ _LAYOUTS = (
     '<select name="color"><option>цвет ', p_brand, '<option>plain</select></div>')""",
     # 2: name only by class, block characteristics
     f"""concat('<div class="product-name title">', p_name, '</div><span>около ', p_size, ' л</span>',
-    '<a class="brand-link"> ', p_brand, '</a><div>\n<label>Артикул:</label> SKU-', p_partkey, ' </div>',
+    '<a class="brand-link"> ', p_brand, '</a><div><label>Артикул:</label> SKU-', p_partkey, ' </div>',
     '<i class="hot-badge">', p_type, '</i><div data-price="', p_retailprice, '"></div>',
     '<s class="price-original">', p_retailprice + p_size, '</s>',
     '<div class="out-of-stock">Нет в наличии</div><img class="main-pic" src="x/', p_partkey, '.jpg">',
@@ -144,11 +144,11 @@ _LAYOUTS = (
     '<div class="feature"><u class="f-label">Страна</u><u class="f-content">other</u></div>',
     '<div data-variants=''{{"variants":["', p_size, ' ml","XL","', p_size, ' l"]}}''></div>')""",
     # 3: fallbacks only, JSON-LD and JSON
-    f"""concat('<h1>', p_name, '</h1><span class="the-price">от <b>', format_string('%.2f', p_retailprice), '</b></span>',
+    f"""concat('<h1>', p_name, '</h1><span class="the-price"><b>', format_string('%.2f', p_retailprice), '</b></span>',
     '<div class="preorder">скоро</div><div data-main-image="/dm/', p_partkey, '.jpg"></div>',
     '<p class="product-text">', p_name, '</p><u data-code=" C-', p_partkey, '"></u>',
     '<script type="application/json">{{"mainImage":"/j/', p_partkey, '.png","note":"n","list":[{{"src":"/j/', p_size,
-    '.png"}},{{"srcset":3}},5],"options":["', p_size, ' ml","select"]}}</script>',
+    '.png"}},{{"srcset":3}},5],"has_variants":true,"options":["', p_size, ' ml","select"]}}</script>',
     '<div data-available-colors=''["Blue","blue","XL",3]''></div><b class="color-x-btn">Green</b>')""",
 )
 
