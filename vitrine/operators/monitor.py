@@ -137,3 +137,21 @@ def endpoint_health(states: DataFrame, endpoints: DataFrame | None = None) -> Da
         F.count_if(bad).alias("blacklisted"),
         F.count_if(~bad).alias("available"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Text logs
+# ---------------------------------------------------------------------------
+
+
+def matching_lines(lines: DataFrame, word: str, text: str = "value") -> DataFrame:
+    """Lines that contain the word, with the number of identical ones."""
+    return lines.where(F.col(text).contains(word)).groupBy(F.col(text).alias("line")).agg(
+        F.count(F.lit(1)).alias("line_count"))
+
+
+def http_errors(lines: DataFrame, text: str = "value") -> DataFrame:
+    """HTTP error lines per status code."""
+    status = F.regexp_extract(F.col(text), r"HTTP Error (\d+)", 1).try_cast("int")
+    return lines.select(status.alias("status")).where("status IS NOT NULL").groupBy("status").agg(
+        F.count(F.lit(1)).alias("line_count"))

@@ -266,7 +266,8 @@ def distinct_variants(spark, sf):
 
 
 @register("valid_variants", "X34", """
-    SELECT p_partkey AS k, p_type NOT IN ('LARGE', 'SMALL', 'MEDIUM') AS of_type, p_partkey % 3 = 2 AS of_size, true AS of_name,
+    SELECT p_partkey AS k, p_type NOT IN ('LARGE', 'SMALL', 'MEDIUM') AS of_type, p_partkey % 3 = 2 AS of_size,
+      NOT regexp_matches(p_name, 'small|large|medium') AS of_name,
       false AS of_long FROM part""")
 def valid_variants(spark, sf):
     return table(spark, sf, "part").select(

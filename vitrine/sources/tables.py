@@ -38,11 +38,14 @@ def _next_id(spark: SparkSession, table: str) -> int:
     return 1 if top is None else top + 1
 
 
-def append_products(df: DataFrame, table: str = "products", created_at: Column | None = None) -> None:
+def append_products(
+    df: DataFrame, table: str = "products", created_at: Column | None = None, path: str | None = None
+) -> None:
     """Append rows with a growing ``id`` and ``created_at``.
 
     Ids are unique and larger than all stored ones, without being dense: a dense
     number would need all rows in one order.  One writer per table at a time.
+    ``path`` places a new table outside the warehouse folder.
     """
     spark = df.sparkSession
     base = _next_id(spark, table)
@@ -51,7 +54,8 @@ def append_products(df: DataFrame, table: str = "products", created_at: Column |
         (F.current_timestamp() if created_at is None else created_at).alias("created_at"))
     if spark.catalog.tableExists(table):
         stamped = _aligned(stamped, spark.table(table).schema)
-    stamped.write.mode("append").saveAsTable(table)
+    writer = stamped.write.mode("append")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def _aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
