@@ -13,6 +13,7 @@ match leave Python; a page of thousands of nodes shrinks to a few dozen.
 
 from __future__ import annotations
 
+import gc
 import re
 import sys
 from collections.abc import Callable, Iterable
@@ -253,6 +254,7 @@ _TOKEN = re.compile(
        (?P<attrs>(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+)*+)>""",
     re.S | re.X,
 )
+_OPAQUE_END = {tag: re.compile(rf"</{tag}", re.I) for tag in _OPAQUE}
 _ATTR = re.compile(
     r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""", re.S
 )
@@ -267,94 +269,104 @@ def _attrs(source: str) -> dict[str, str]:
 
 
 class _Node:
-    __slots__ = ("idx", "parent", "last", "tag", "attrs", "cls", "first", "kids", "pieces", "is_last",
-                 "start", "stop", "inner", "deep")
-
-    def __init__(self, idx, parent, tag, attrs, start):
-        self.idx, self.parent, self.last, self.tag, self.attrs, self.start = idx, parent, idx, tag, attrs, start
-        words = attrs.get("class")
-        self.cls = f" {' '.join(words.split())} " if words else ""
-        self.first, self.is_last, self.kids, self.pieces, self.stop = True, True, None, [], start
-        self.inner, self.deep = None, None
-
-
-def _read_page(html: str, full_text: frozenset[str]) -> list[_Node]:
-    """Element nodes of one page in document order; the first is the page itself."""
-    root = _Node(0, None, "#page", {}, 0)
-    nodes, stack, count = [root], [root], 1
-    at, size = 0, len(html)
-
-    def text(piece: str) -> None:
-        nonlocal count
-        top = stack[-1]
-        if not piece or (top.tag in _NO_BLANK_TEXT and not piece.strip()):
-            return
-        entry = (count, unescape(piece) if "&" in piece and top.tag not in _OPAQUE else piece)
-        count += 1
-        top.pieces.append(entry)
-        for n in stack:
-            if n.inner is None:
-                n.inner = entry
-            if n.deep is not None:
-                n.deep.append(entry[1])
-
-    def close(depth: int, stop: int) -> None:
-        while len(stack) > depth:
-            n = stack.pop()
-            n.last, n.stop = count - 1, stop
-
-    pending = 0
-    while at < size:
-        m = _TOKEN.search(html, at)
+    __slots__ = ("idx", "parent", "last", "tag", "attrs", "cls", "first", "kid", "pieces", "is_last",
+                 "start", "stop", "inner", "deep", "kept")
+
+    def __init__(self, idx, parent, tag, attrs, start, kept):
+        self.idx = self.last = idx
+        self.parent, self.tag, self.attrs, self.kept = parent, tag, attrs, kept
+        self.start = self.stop = start
+        self.cls, self.pieces = "", []
+        self.first = self.is_last = True
+        self.kid = self.inner = self.deep = None
+
+
+def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None) -> list[_Node]:
+    """Element nodes of one page in document order; the first is the page itself.
+
+    With ``keep``, attributes are only read of nodes that may be wanted.
+    """
+    root = _Node(0, None, "#page", {}, 0, True)
+    nodes, stack, deep, count = [root], [root], [], 1
+    at, size, pending = 0, len(html), 0
+    search, closes = _TOKEN.search, _CLOSES.get
+
+    while True:
+        m = search(html, at)
+        start, at = m.span() if m else (size, size)
+        if start > pending:
+            top = stack[-1]
+            piece = html[pending:start]
+            if top.tag not in _NO_BLANK_TEXT or not piece.isspace():
+                entry = (count, unescape(piece) if "&" in piece and top.tag not in _OPAQUE else piece)
+                count += 1
+                top.pieces.append(entry)
+                n = top  # the first text of a node is also that of its open ancestors
+                while n is not None and n.inner is None:
+                    n.inner = entry
+                    n = n.parent
+                for n in deep:
+                    n.deep.append(entry[1])
+        pending = at
         if m is None:
             break
-        at = m.end()
         tag = m["tag"]
         if tag is None:  # comment or declaration: a break between text pieces
-            text(html[pending:m.start()])
-            pending = at
             continue
-        text(html[pending:m.start()])
-        pending = at
         tag = tag.lower()
+        shut, stop = None, start
         if m["end"]:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == tag:
-                    close(depth + 1, m.start())
-                    close(depth, at)
+                    shut = depth
+                    stack[depth].stop = at
                     break
+        else:
+            over = closes(tag)
+            if over:
+                fence = _FENCES.get(tag) or (_BLOCK_FENCE if tag in _BLOCKS else _TABLE_FENCE)
+                for depth in range(len(stack) - 1, 0, -1):
+                    open_tag = stack[depth].tag
+                    if open_tag in over:
+                        shut = depth
+                    elif open_tag in fence:
+                        break
+        if shut is not None:
+            for n in stack[shut:]:
+                n.last, n.kid = count - 1, None  # without links down, pages free themselves
+                if n.stop == n.start:
+                    n.stop = stop
+                if n.deep is not None:
+                    deep.remove(n)
+            del stack[shut:]
+        if m["end"]:
             continue
-        shut = _CLOSES.get(tag)
-        if shut:
-            fence = _FENCES.get(tag) or (_BLOCK_FENCE if tag in _BLOCKS else _TABLE_FENCE)
-            found = None
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in shut:
-                    found = depth
-                elif stack[depth].tag in fence:
-                    break
-            if found is not None:
-                close(found, m.start())
+
         parent = stack[-1]
-        n = _Node(count, parent, tag, _attrs(m["attrs"]), m.start())
+        source = m["attrs"]
+        wanted = keep is None or keep.may_want(tag, source)
+        n = _Node(count, parent, tag, _attrs(source) if wanted and source else {}, start, wanted)
+        words = n.attrs.get("class")
+        if words:
+            n.cls = f" {' '.join(words.split())} "
         count += 1
-        nodes.append(n)
-        if parent.kids is not None:
-            parent.kids.is_last, n.first = False, False
-        parent.kids = n
-        if tag in full_text:
-            n.deep = []
+        if wanted:
+            nodes.append(n)
+        if parent.kid is not None:
+            parent.kid.is_last = n.first = False
+        parent.kid = n
         if tag in _VOID:
             n.stop = at
             continue
         stack.append(n)
+        if wanted and tag in full_text:
+            n.deep = []
+            deep.append(n)
         if tag in _OPAQUE:
-            end = re.compile(rf"</{tag}", re.I).search(html, at)
-            stop = end.start() if end else size
-            text(html[at:stop])
-            at = pending = stop
-    text(html[pending:])
-    close(0, size)
+            end = _OPAQUE_END[tag].search(html, at)
+            at = end.start() if end else size
+    for n in stack:
+        n.last, n.stop, n.kid = count - 1, size, None
     return nodes
 
 
@@ -363,31 +375,34 @@ class _Keep:
     """Which nodes any of the used selectors could match."""
 
     tags: frozenset[str]
-    attrs: frozenset[str]
-    classes: re.Pattern | None
+    source: re.Pattern | None
 
     @staticmethod
     def of(sels: Iterable[Sel]) -> "_Keep | None":
-        tags, attrs, words = set(), set(), set()
+        tags, words = set(), set()
         for part in (p for s in sels for p in s.parts()):
             if part.cls or part.cls_has:
                 words.add(part.cls or part.cls_has[0])
             elif part.attr:
-                attrs.add(part.attr)
+                words.add(part.attr)
             elif part.tag:
                 tags.add(part.tag)
             else:
                 return None
-        pattern = re.compile("|".join(sorted(map(re.escape, words)))) if words else None
-        return _Keep(frozenset(tags), frozenset(attrs), pattern)
+        # Words are looked for in the unread attribute text, which holds them
+        # literally unless an entity hides them.  A word that contains another
+        # one needs no search of its own.
+        words = {w.lower() for w in words}
+        shortest = [w for w in words if not any(o != w and o in w for o in words)]
+        pattern = re.compile("|".join(map(re.escape, sorted(shortest))) + "|&") if words else None
+        return _Keep(frozenset(tags), pattern)
+
+    def may_want(self, tag: str, source: str) -> bool:
+        return tag in self.tags or bool(source and self.source and self.source.search(source.lower()))
+
 
-    def __call__(self, n: _Node) -> bool:
-        return (
-            n.idx == 0
-            or n.tag in self.tags
-            or bool(self.classes and n.cls and self.classes.search(n.cls))
-            or not self.attrs.isdisjoint(n.attrs)
-        )
+# Nodes kept as Python objects before they are packed into Arrow memory.
+_NODES_HELD = 50_000
 
 
 def _offsets(sizes: list[int]) -> pa.Array:
@@ -459,15 +474,24 @@ def parse_nodes(html: Column, used: Iterable[Sel] | None = None, full_text: Iter
     wide = frozenset(full_text)
 
     def read(batch: pa.Array) -> pa.Array:
+        done: list[pa.Array] = []
         pages: list[list[_Node] | None] = []
-        for value in batch:
-            source = value.as_py()
-            if source is None:
-                pages.append(None)
-                continue
-            nodes = _read_page(source, wide)
-            pages.append([n for n in nodes if keep(n)] if keep else nodes)
-        return _to_arrow(pages)
+        held = 0
+        collecting = gc.isenabled()
+        gc.disable()  # many small objects and no cycles among them
+        try:
+            for value in batch:
+                source = value.as_py()
+                pages.append(None if source is None else _read_page(source, wide, keep))
+                held += len(pages[-1] or ())
+                if held > _NODES_HELD:
+                    done.append(_to_arrow(pages))
+                    pages, held = [], 0
+            done.append(_to_arrow(pages))
+        finally:
+            if collecting:
+                gc.enable()
+        return pa.concat_arrays(done)
 
     read.__annotations__ = {"batch": pa.Array, "return": pa.Array}
     return F.arrow_udf(read, NODES).asNondeterministic()(html)

@@ -6,6 +6,8 @@ the JVM and can be used in any select, filter or streaming query.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F, types as T
 
 # Accepted spellings of "true" in source data.
@@ -19,6 +21,22 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 _WS = r"[\s\x1c-\x1f]"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate an expensive value once although ``body`` names it often."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def settled(value: Column) -> Column:
+    """The value, in a projection that filters are not pushed through.
+
+    Spark moves a filter on a derived column below the projection and copies the
+    deriving expression into it, once per mention.  That is right for cheap
+    expressions and ruinous for selectors over page nodes.  A non-deterministic
+    part stops the move; here it is a test that always holds.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def strip(c: Column) -> Column:
     """Remove white space at both ends."""
     return F.regexp_replace(c, rf"(?U)^{_WS}+|{_WS}+$", "")

@@ -161,7 +161,8 @@ USED += [Sel(attr=f"data-{field}") for field, _ in SPECIAL.values()]
 def base_url(nodes: str = "nodes", url: str = "url") -> Column:
     """Address that relative links of the page refer to."""
     given = text.strip(F.expr(first_attr(select(nodes, BASE), "href")))
-    return F.when(F.expr(exists(nodes, BASE)), text.resolve_url(F.col(url), given)).otherwise(F.col(url))
+    resolved = text.bind(given, lambda g: text.resolve_url(F.col(url), g))
+    return F.when(F.expr(exists(nodes, BASE)), resolved).otherwise(F.col(url))
 
 
 def is_product_page(p: Page) -> Column:
@@ -341,7 +342,7 @@ def stock_data(available: Column, count: Column, status: Column) -> Column:
 
 def main_image(p: Page) -> Column:
     found = F.expr(first_of(*[first_attr(select(p.nodes, s), a) for s, a in MAIN_IMAGES]))
-    return text.normalize_url(F.col(p.base), found)
+    return text.bind(found, lambda u: text.normalize_url(F.col(p.base), u))
 
 
 def _normalized(p: Page, urls: str) -> Column:
@@ -692,7 +693,7 @@ def product_rows(
     some = lambda c: F.nullif(text.strip(c), F.lit(""))
     have = {
         "product_id": some(F.col("product_id")),
-        "name": F.nullif(text.clean_title(F.col("full_title")), F.lit("")),
+        "name": text.settled(F.nullif(text.clean_title(F.col("full_title")), F.lit(""))),
         "category_id": some(F.col("category_id")),
         "category": F.coalesce(some(crumb), some(F.col("category_name"))),
         "price_data": F.col("price_data"),

@@ -51,14 +51,24 @@ def listing_pages(pages: DataFrame) -> DataFrame:
     return found.select(
         *pages.columns,
         F.transform("hrefs", lambda h: text.resolve_url(F.col("base"), h)).alias("links"),
-        text.resolve_url(F.col("base"), F.col("next_href")).alias("next_url"),
+        text.settled(text.resolve_url(F.col("base"), F.col("next_href"))).alias("next_url"),
     )
 
 
 def link_rows(listing: DataFrame) -> DataFrame:
     """One row per link: page columns without the page source, position and address."""
     kept = [c for c in listing.columns if c not in ("html", "links", "next_url")]
-    return listing.select(*kept, F.posexplode("links").alias("position", "link_url"))
+    return exploded(listing.select(*kept, F.posexplode_outer("links").alias("position", "link_url")), "position")
+
+
+def exploded(rows: DataFrame, mark: str) -> DataFrame:
+    """Drop the null rows of an outer explode.
+
+    A plain explode makes Spark test the array for emptiness first, and that
+    test is pushed down with the whole expression that built the array, which is
+    then evaluated twice.
+    """
+    return rows.where(F.col(mark).isNotNull())
 
 
 def fetch_once(links: DataFrame, *order: str) -> DataFrame:
@@ -114,7 +124,7 @@ def listing_cards(pages: DataFrame) -> DataFrame:
     parsed = pages.select(*kept, parse_nodes(F.col("html"), used).alias("nodes"))
     own = each(select("nodes", CARD), lambda card: (
         f"named_struct('idx', {card}.idx, 'own', {where('nodes', lambda n: under(n, card))})"))
-    cards = parsed.select(*kept, F.explode(F.expr(own)).alias("card")).select(
+    cards = exploded(parsed.select(*kept, F.explode_outer(F.expr(own)).alias("card")), "card").select(
         *kept, "card.idx",
         F.expr(all_attrs("card.own", "data-product-id")).alias("ids"),
         F.expr(all_texts(select("card.own", CARD_NAME))).alias("names"),
@@ -140,7 +150,7 @@ def category_links(pages: DataFrame, region: str) -> DataFrame:
     found = each(select("nodes", CATEGORY_LINK), lambda c: (
         f"named_struct('name', {c}.inner.text, 'url', "
         f"{first_attr(where('nodes', lambda n: under(n, c)), 'href')})"))
-    return parsed.select(*kept, F.explode(F.expr(found)).alias("c")).select(
+    return exploded(parsed.select(*kept, F.explode_outer(F.expr(found)).alias("c")), "c").select(
         *kept, "c.name", "c.url", F.lit(region).alias("region"))
 
 

@@ -10,7 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from vitrine.functions.text import is_url
+from vitrine.functions.text import is_url, settled
+from vitrine.functions.nodes import let
 from vitrine.functions.truth import is_filled, variant_filled_sql
 
 # Fixed values of the output check.
@@ -97,19 +98,18 @@ def field_stats(df: DataFrame) -> DataFrame:
     ).orderBy("field")
 
 
+# Type name of a variant from its schema text; null when there is no value.
 _KIND = (
-    "CASE WHEN {v} IS NULL OR is_variant_null({v}) THEN 'null'"
-    " WHEN schema_of_variant({v}) = 'BOOLEAN' THEN 'boolean'"
-    " WHEN schema_of_variant({v}) = 'BIGINT' OR schema_of_variant({v}) RLIKE '^DECIMAL.[0-9]+,0.$' THEN 'integer'"
-    " WHEN schema_of_variant({v}) RLIKE '^(DECIMAL|DOUBLE|FLOAT)' THEN 'float'"
-    " WHEN schema_of_variant({v}) LIKE 'ARRAY%' THEN 'array'"
-    " WHEN schema_of_variant({v}) LIKE 'OBJECT%' THEN 'object' ELSE 'string' END"
+    "CASE WHEN {s} = 'STRING' THEN 'string' WHEN {s} = 'BOOLEAN' THEN 'boolean'"
+    " WHEN {s} = 'BIGINT' OR {s} RLIKE '^DECIMAL.[0-9]+,0.$' THEN 'integer'"
+    " WHEN {s} RLIKE '^(DECIMAL|DOUBLE|FLOAT)' THEN 'float' WHEN {s} LIKE 'ARRAY%' THEN 'array'"
+    " WHEN {s} LIKE 'OBJECT%' THEN 'object' WHEN {s} IS NULL OR {s} = 'VOID' THEN 'null' ELSE 'string' END"
 )
 
 
 def json_kind(v: str) -> str:
     """SQL: type name of a variant value."""
-    return _KIND.format(v=v)
+    return let(f"schema_of_variant({v})", lambda s: _KIND.format(s=s))
 
 
 def json_field_stats(raw: DataFrame, order: Column, text: str = "value") -> DataFrame:
@@ -121,7 +121,8 @@ def json_field_stats(raw: DataFrame, order: Column, text: str = "value") -> Data
     parsed = raw.select(order.alias("at"), F.try_parse_json(F.col(text)).alias("doc"))
     total = parsed.agg(F.count("doc")).scalar()
     entries = parsed.select(
-        "at", F.explode(F.expr("try_variant_get(doc, '$', 'map<string,variant>')")).alias("field", "v"))
+        "at", F.explode_outer(F.expr("try_variant_get(doc, '$', 'map<string,variant>')")).alias("field", "v")
+    ).where("field IS NOT NULL")
     stats = entries.select("at", "field", F.expr(json_kind("v")).alias("kind"),
                            F.expr(variant_filled_sql("v")).alias("is_filled")).groupBy("field").agg(
         F.count_if("is_filled").alias("filled"),
@@ -178,7 +179,8 @@ def check_output(raw: DataFrame, index: Column, text: str = "value") -> DataFram
     picked = raw.select("*", index.alias("row_index"), F.try_parse_json(F.col(text)).alias("doc"))
     fields = [*dict.fromkeys([*REQUIRED, *NUMBER_FIELDS, *URL_FIELDS, *LIST_FIELDS])]
     picked = picked.select("*", *[F.expr(_value(f)).alias(f"v_{f}") for f in fields])
-    picked = picked.select("*", *[F.expr(json_kind(f"v_{f}")).alias(f"k_{f}") for f in fields],
+    picked = picked.select("*", *[F.expr(f"schema_of_variant(v_{f})").alias(f"s_{f}") for f in fields])
+    picked = picked.select("*", *[F.expr(_KIND.format(s=f"s_{f}")).alias(f"k_{f}") for f in fields],
                            *[F.expr(variant_filled_sql(f"v_{f}")).alias(f"f_{f}") for f in fields])
     at = F.concat(F.lit("Product "), F.col("row_index").cast("string"), F.lit(": "))
     shown = lambda f: F.expr(f"coalesce(try_variant_get(v_{f}, '$', 'string'), to_json(v_{f}))")
@@ -206,7 +208,7 @@ def check_output(raw: DataFrame, index: Column, text: str = "value") -> DataFram
             at, F.lit(f"'{f}' should be a list"))))
     return picked.select(
         *raw.columns, "row_index",
-        F.array_compact(F.array(*errors)).alias("errors"),
+        settled(F.array_compact(F.array(*errors))).alias("errors"),
         F.array_compact(F.array(*warnings)).alias("warnings"),
     )
 
@@ -226,7 +228,9 @@ def output_totals(checked: DataFrame) -> DataFrame:
 
 def findings(checked: DataFrame, kind: str) -> DataFrame:
     """One row per message of the ``errors`` or ``warnings`` column."""
-    return checked.select("row_index", F.posexplode(kind).alias("position", "message"))
+    # Outer, so that no test for emptiness is pushed down and evaluated a second time.
+    rows = checked.select("row_index", F.posexplode_outer(kind).alias("position", "message"))
+    return rows.where("position IS NOT NULL")
 
 
 def report_lines(checked: DataFrame, kind: str, shown: int = 10) -> DataFrame:

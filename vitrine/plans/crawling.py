@@ -67,7 +67,8 @@ def fallback_text(spark, sf):
 
 def _page_links(spark, sf):
     parsed = pages(spark, sf).select("page_id", "url", parse_nodes(F.col("html"), (_ANCHORS,)).alias("nodes"))
-    hrefs = parsed.select("page_id", "url", F.posexplode(F.expr(all_attrs(select("nodes", _ANCHORS), "href"))).alias("position", "href"))
+    hrefs = links.exploded(parsed.select("page_id", "url", F.posexplode_outer(
+        F.expr(all_attrs(select("nodes", _ANCHORS), "href"))).alias("position", "href")), "position")
     return hrefs.select("page_id", "position", resolve_url(F.col("url"), F.col("href")).alias("link_url"))
 
 

@@ -27,8 +27,12 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise in the shared folder, so lost executors cost no recomputation."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Materialise as a table in the shared folder and go on from there.
+
+    The plan behind it runs once (a checkpoint of an uncached plan runs it
+    twice), lost executors cost no recomputation, and the next join is planned
+    with the real size.
+    """
+    path = new_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
