@@ -160,7 +160,8 @@ def select(nodes: str, sels: Selectors) -> str:
     if above == {None}:
         return where(nodes, lambda n: matches(n, sels))
     if len(above) > 1:
-        return f"array_sort(array_distinct(concat({', '.join(select(nodes, s) for s in sels)})))"
+        found = ", ".join(each(select(nodes, s), lambda n: f"{n}.idx") for s in sels)
+        return let(f"concat({found})", lambda ids: where(nodes, lambda n: f"array_contains({ids}, {n}.idx)"))
     # Roots first: most pages have none, and then no node is looked at.
     return let(select(nodes, above.pop()), lambda roots: (
         f"CASE WHEN size({roots}) = 0 THEN slice({nodes}, 1, 0) ELSE "

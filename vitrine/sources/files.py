@@ -207,7 +207,7 @@ def read_json_text(spark: SparkSession, path: str, fmt: str = "auto") -> DataFra
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line")).alias("row_order"))
     if fmt == "json":
-        whole = spark.read.option("wholetext", True).text(path)
+        whole = spark.read.text(path, wholetext=True)
         document = F.try_parse_json("value")
         rows = F.coalesce(
             F.try_variant_get(document, "$", "array<variant>"), F.array(document))
