@@ -15,13 +15,14 @@ def test_price_changes_with_one_hot_product(spark):
         rows.append((n, product, rng.choice(["r1", "r2", None]), rng.choice([1.0, 2.0, 3.0, None]),
                      datetime(2024, 1, 1) + timedelta(days=rng.randrange(400))))
     df = spark.createDataFrame(rows, "id int, product_id string, region string, price double, timestamp timestamp")
-    got = {r["id"]: (r["previous_price"], r["is_drop"]) for r in entities.price_changes(df, tie="id").collect()}
+    read = lambda d: {r["id"]: (r["previous_price"], r["is_drop"]) for r in d.collect()}
     last, want = {}, {}
     for n, product, region, price, at in sorted(rows, key=lambda r: (r[4], r[0])):
         before = last.get((product, region))
         want[n] = (before, before is not None and price is not None and price < before)
         last[(product, region)] = price
-    assert got == want
+    assert read(entities.price_changes(df, tie="id")) == want
+    assert read(entities.price_changes(df, tie="id", hot_rows=50, pieces=7)) == want
 
 
 def test_latest_reviews_categories_stores(spark):

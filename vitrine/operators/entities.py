@@ -11,33 +11,32 @@ def price_changes(
     at: str = "timestamp",
     price: str = "price",
     tie: str | None = None,
-    piece: Column | None = None,
+    hot_rows: int = 1_000_000,
+    pieces: int = 200,
 ) -> DataFrame:
     """Previous price, change and drop flag of each price of a product.
 
-    A product with very many prices must not become one window of one task.
-    The history of a key is therefore cut into pieces of time (``piece``, a
-    month unless given); the previous row is looked up inside the piece, and the
-    first row of a piece takes the last price of the key's piece before it, from
-    a table of one row per key and piece.
+    A key with up to ``hot_rows`` prices is one window.  A hotter key must not
+    end in one task: its history is cut at quantiles of its own time into
+    ``pieces`` windows.  The first row of a piece takes the last price of the
+    piece before it, from a table of one row per hot key and piece.
     """
     order = [F.col(at)] + ([F.col(tie)] if tie else [])
-    part = F.date_trunc("month", F.col(at)) if piece is None else piece
-    rows = history.withColumn("_piece", part)
+    instant = F.unix_micros(F.col(at).cast("timestamp_ltz"))
+    marked = _joined_on(history, _cuts(history, keys, instant, hot_rows, pieces), keys)
+    piece = F.when(F.col("_cuts").isNull(), 0).otherwise(
+        F.size(F.filter("_cuts", lambda cut: cut < instant)))
+    marked = marked.select(*history.columns, F.col("_cuts").isNotNull().alias("_hot"), piece.alias("_piece"))
+
+    ends = marked.where("_hot").groupBy(*keys, "_piece").agg(
+        F.max_by(F.struct(F.col(price).alias("p")), F.struct(*order)).alias("_last"))
+    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_piece"))
+    ends = ends.select(*keys, "_piece", before["p"].alias("_carried"))
+
     within = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    rows = rows.select("*", F.lag(price).over(within).alias("_before"), F.row_number().over(within).alias("_nth"))
-    ends = (
-        history.withColumn("_piece", part)
-        .groupBy(*keys, "_piece")
-        .agg(F.max_by(F.struct(F.col(price).alias("p")), F.struct(*order)).alias("_last"))
-    )
-    across = Window.partitionBy(*keys).orderBy("_piece")
-    ends = ends.select(
-        *[F.col(k).alias(f"_end_{k}") for k in (*keys, "_piece")], F.lag("_last").over(across)["p"].alias("_carried"))
-    same = [F.col(k).eqNullSafe(F.col(f"_end_{k}")) for k in (*keys, "_piece")]
-    joined = rows.join(ends, same, "left")
-    previous = F.when(F.col("_nth") == 1, F.col("_carried")).otherwise(F.col("_before"))
-    return joined.select(
+    rows = marked.select("*", F.lag(price).over(within).alias("_before"), F.row_number().over(within).alias("_nth"))
+    previous = F.when(F.col("_nth") > 1, F.col("_before")).otherwise(F.col("_carried"))
+    return _joined_on(rows, ends, (*keys, "_piece")).select(
         *history.columns,
         previous.alias("previous_price"),
         (F.col(price) - previous).alias("price_change"),
@@ -45,6 +44,21 @@ def price_changes(
     )
 
 
+def _cuts(history: DataFrame, keys: tuple[str, ...], instant: Column, hot_rows: int, pieces: int) -> DataFrame:
+    """Quantiles of time of each key with more than ``hot_rows`` rows."""
+    hot = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows).drop("_rows")
+    of_hot = _joined_on(history.select(*keys, instant.alias("_instant")), hot, keys, "inner")
+    steps = [i / pieces for i in range(1, pieces)]
+    return of_hot.groupBy(*keys).agg(F.percentile_approx("_instant", steps, 1000).alias("_cuts"))
+
+
+def _joined_on(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str = "left") -> DataFrame:
+    """Join in which a null key equals a null key; the keys of the left side stay."""
+    renamed = right.select(*[F.col(c).alias(f"_key_{c}" if c in keys else c) for c in right.columns])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
+    return left.join(renamed, same, how).drop(*[f"_key_{k}" for k in keys])
+
+
 def latest_snapshot(
     snapshots: DataFrame, key: str = "product_id", at: str = "scraped_at", tie: str | None = None
 ) -> DataFrame:

@@ -104,15 +104,24 @@ def latest_product(spark, sf):
 # ---------------------------------------------------------------------------
 
 
-@register("price_changes", "E1", """
+_CHANGES = """
     WITH w AS (SELECT o_orderkey AS snapshot_id, o_custkey, o_orderpriority AS region, o_totalprice AS price,
         lag(o_totalprice) OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderdate, o_orderkey) AS previous FROM orders)
     SELECT snapshot_id, CAST(o_custkey AS VARCHAR) AS product_id, region, price, previous AS previous_price,
-      price - previous AS price_change, coalesce(price < previous, false) AS is_drop FROM w""")
+      price - previous AS price_change, coalesce(price < previous, false) AS is_drop FROM w"""
+
+
+@register("price_changes", "E1", _CHANGES)
 def price_changes(spark, sf):
     return entities.price_changes(price_snapshots(spark, sf), at="at", tie="snapshot_id").drop("at")
 
 
+@register("price_changes_hot_keys", "E1", _CHANGES)
+def price_changes_hot_keys(spark, sf):
+    """The path of hot keys, taken by every key with more than two prices."""
+    return entities.price_changes(price_snapshots(spark, sf), at="at", tie="snapshot_id", hot_rows=2, pieces=5).drop("at")
+
+
 @register("latest_snapshot", "E2", """
     SELECT CAST(o_custkey AS VARCHAR) AS product_id, o_orderkey AS snapshot_id, o_totalprice AS price FROM orders
     QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""")

@@ -196,12 +196,14 @@ def table_ids(spark, sf):
 
 
 @register("storage_types", "S13", """
-    SELECT * FROM (VALUES ('product_id', 'TEXT'), ('name', 'TEXT'), ('price', 'REAL'), ('in_stock', 'BOOLEAN'), ('image_urls', 'TEXT'),
-      ('price_data', 'TEXT'), ('count', 'INTEGER')) AS t(field, stored_as)""")
+    SELECT field, stored_as, CASE WHEN field = 'price' THEN (SELECT count(*) FROM part WHERE p_partkey % 7 <> 0)
+      ELSE (SELECT count(*) FROM part) END AS stored FROM (VALUES ('product_id', 'TEXT'), ('name', 'TEXT'), ('price', 'REAL'),
+      ('in_stock', 'BOOLEAN'), ('image_urls', 'TEXT'), ('price_data', 'TEXT'), ('count', 'INTEGER')) AS t(field, stored_as)""")
 def storage_types(spark, sf):
     df = _export(spark, sf).withColumn("count", F.lit(1))
-    pairs = ", ".join(f"'{f.name}', '{tables.storage_type(f.dataType)}'" for f in df.schema.fields)
-    return df.limit(1).select(F.expr(f"stack({len(df.columns)}, {pairs}) AS (field, stored_as)"))
+    stored = tables.storage_projection(df).agg(*[F.count(c).alias(c) for c in df.columns])
+    entries = ", ".join(f"'{f.name}', '{tables.storage_type(f.dataType)}', `{f.name}`" for f in df.schema.fields)
+    return stored.select(F.expr(f"stack({len(df.columns)}, {entries}) AS (field, stored_as, stored)"))
 
 
 @register("newest_first_export", "S14", f"SELECT CAST(p_partkey AS VARCHAR) AS product_id, {_NAME} AS name FROM part")

@@ -17,14 +17,15 @@ def detect_format(path: str) -> str:
 
 
 def read_products(
-    spark: SparkSession, path: str, fmt: str = "auto", schema: T.StructType | None = None
+    spark: SparkSession, path: str, fmt: str = "auto", schema: T.StructType | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Rows of a product file or folder.
 
     ``json`` is an array (or one object) per file, ``jsonl`` one object per
     line, ``csv`` has a header and gives text only, ``xml`` has one ``product``
     element per row.  Give a schema where it is known: without one Spark reads
-    the input twice.
+    the input twice.  CSV cells may hold line breaks, which makes a file one
+    task; with ``multi_line=False`` large CSV files without them are split.
     """
     fmt = detect_format(path) if fmt == "auto" else fmt
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -33,7 +34,7 @@ def read_products(
     if fmt == "jsonl":
         return reader.json(path)
     if fmt == "csv":
-        rows = spark.read.options(header=True, multiLine=True, escape='"').csv(path)
+        rows = spark.read.options(header=True, multiLine=multi_line, escape='"').csv(path)
         return rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns])
     if fmt == "xml":
         return _from_items(reader.option("rowTag", ROW_TAG).format("xml").load(path) if schema is None

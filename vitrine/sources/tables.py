@@ -44,7 +44,8 @@ def append_products(
     """Append rows with a growing ``id`` and ``created_at``.
 
     Ids are unique and larger than all stored ones, without being dense: a dense
-    number would need all rows in one order.  One writer per table at a time.
+    number would need all rows in one order.  Each append uses up a range of
+    2^33 ids per input partition.  One writer per table at a time.
     ``path`` places a new table outside the warehouse folder.
     """
     spark = df.sparkSession
