@@ -153,9 +153,32 @@ def under(n: str, scope: str) -> str:
     return f"({n}.idx >= {scope}.idx AND {n}.idx <= {scope}.last)"
 
 
+class PageNodes(str):
+    """Name of a column that holds whole pages.
+
+    The first node of a page lists the tags, classes and attribute names that
+    occur in it.  One look at that list spares a selector the walk over all
+    nodes of a page on which it cannot match.
+    """
+
+    def may_hold(self, sels: Iterable[Sel]) -> str:
+        marks = {
+            f" {s.cls} " if s.cls else s.cls_has[0] if s.cls_has else f"[{s.attr}]" if s.attr else f"<{s.tag}>"
+            for s in sels
+        }
+        return " OR ".join(f"contains({self}[0].alltext, {quoted(m)})" for m in sorted(marks))
+
+
 def select(nodes: str, sels: Selectors) -> str:
     """Nodes that match any of the selectors, in document order."""
     sels = [sels] if isinstance(sels, Sel) else list(sels)
+    found = _select(nodes, sels)
+    if isinstance(nodes, PageNodes):
+        return f"CASE WHEN {nodes.may_hold(sels)} THEN {found} ELSE slice({nodes}, 1, 0) END"
+    return found
+
+
+def _select(nodes: str, sels: list[Sel]) -> str:
     above = {s.within for s in sels}
     if above == {None}:
         return where(nodes, lambda n: matches(n, sels))
@@ -170,7 +193,9 @@ def select(nodes: str, sels: Selectors) -> str:
 
 
 def exists(nodes: str, sels: Selectors) -> str:
-    return any_of(nodes, lambda n: matches(n, sels))
+    sels = [sels] if isinstance(sels, Sel) else list(sels)
+    found = any_of(nodes, lambda n: matches(n, sels))
+    return f"(({nodes.may_hold(sels)}) AND {found})" if isinstance(nodes, PageNodes) else found
 
 
 def first_text(found: str) -> str:
@@ -289,6 +314,7 @@ def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None
     """
     root = _Node(0, None, "#page", {}, 0, True)
     nodes, stack, deep, count = [root], [root], [], 1
+    tags, classes, names = set(), set(), set()
     at, size, pending = 0, len(html), 0
     search, closes = _TOKEN.search, _CLOSES.get
 
@@ -353,6 +379,9 @@ def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None
         count += 1
         if wanted:
             nodes.append(n)
+            tags.add(tag)
+            classes.add(n.cls)
+            names.update(n.attrs)
         if parent.kid is not None:
             parent.kid.is_last = n.first = False
         parent.kid = n
@@ -368,6 +397,7 @@ def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None
             at = end.start() if end else size
     for n in stack:
         n.last, n.stop, n.kid = count - 1, size, None
+    root.deep = [f"<{t}>" for t in tags] + [f"|{c}" for c in classes] + [f"[{a}]" for a in names]
     return nodes
 
 

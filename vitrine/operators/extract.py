@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions import text
 from vitrine.functions.nodes import (
-    Sel, all_attrs, all_texts, first_attr, first_inner_text, first_list, first_of, first_outer_or_text,
+    PageNodes, Sel, all_attrs, all_texts, first_attr, first_inner_text, first_list, first_of, first_outer_or_text,
     each, exists, first_text, let, matches, parse_nodes, quoted, select, under, where,
 )
 from vitrine.functions.truth import variant_filled_sql
@@ -25,7 +25,7 @@ from vitrine.schemas import ASSETS, PRICE_DATA, PRODUCT, STOCK
 class Page:
     """Names of the columns that hold one page."""
 
-    nodes: str = "nodes"
+    nodes: PageNodes = PageNodes("nodes")
     url: str = "url"
     html: str = "html"
     base: str = "base"
@@ -158,7 +158,7 @@ USED += [Sel(attr=f"data-{field}") for field, _ in SPECIAL.values()]
 # ---------------------------------------------------------------------------
 
 
-def base_url(nodes: str = "nodes", url: str = "url") -> Column:
+def base_url(nodes: PageNodes = PageNodes("nodes"), url: str = "url") -> Column:
     """Address that relative links of the page refer to."""
     given = text.strip(F.expr(first_attr(select(nodes, BASE), "href")))
     resolved = text.bind(given, lambda g: text.resolve_url(F.col(url), g))
@@ -181,7 +181,7 @@ def product_id(p: Page) -> Column:
 
 
 def volume(p: Page) -> Column:
-    named = where(p.nodes, lambda n: f"{SPAN.test(n)} AND contains(try_element_at({n}.texts, 1).text, 'л')")
+    named = where(select(p.nodes, SPAN), lambda n: f"contains(try_element_at({n}.texts, 1).text, 'л')")
     return text.strip(F.expr(first_of(
         first_attr(select(p.nodes, VOLUME_ATTR), "data-volume"),
         first_text(select(p.nodes, VOLUME_TEXT)),
@@ -211,9 +211,9 @@ def brand(p: Page) -> Column:
 def sku(p: Page) -> Column:
     def named(n: str) -> str:
         head = f"try_element_at({n}.texts, 1).text"
-        return LABEL.test(n) + " AND (" + " OR ".join(f"contains({head}, {quoted(w)})" for w in SKU_LABELS) + ")"
+        return " OR ".join(f"contains({head}, {quoted(w)})" for w in SKU_LABELS)
 
-    beside = f"flatten({each(where(p.nodes, named), lambda n: f'{n}.around')})"
+    beside = f"flatten({each(where(select(p.nodes, LABEL), named), lambda n: f'{n}.around')})"
     return text.strip(F.expr(first_of(
         first_attr(select(p.nodes, SKU_ATTR), "data-sku"),
         first_attr(select(p.nodes, SKU_INPUT), "value"),
@@ -448,8 +448,6 @@ def _usable(pairs: str) -> str:
 
 
 def table_characteristics(p: Page) -> str:
-    parts = where(p.nodes, lambda n: matches(n, ROW_KEYS + ROW_VALUES + (CELL,)))
-
     def of_row(row: str, cells: str) -> str:
         found = lambda own: (
             f"named_struct('k', {first_of(first_text(select(own, ROW_KEYS)))},"
@@ -460,7 +458,11 @@ def table_characteristics(p: Page) -> str:
             f" {_pair(f'try_element_at({r}.cells, 1)', f'try_element_at({r}.cells, -1)')} END")
         return let(where(cells, lambda n: under(n, row)), lambda own: let(found(own), pick))
 
-    return _usable(let(parts, lambda cells: each(select(p.nodes, SPEC_ROWS), lambda row: of_row(row, cells))))
+    # Cells are only looked up on pages that have rows.
+    parts = where(p.nodes, lambda n: matches(n, ROW_KEYS + ROW_VALUES + (CELL,)))
+    return _usable(let(select(p.nodes, SPEC_ROWS), lambda rows: let(
+        f"CASE WHEN size({rows}) > 0 THEN {parts} ELSE slice({p.nodes}, 1, 0) END",
+        lambda cells: each(rows, lambda row: of_row(row, cells)))))
 
 
 def list_characteristics(p: Page) -> str:

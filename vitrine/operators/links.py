@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions import text
 from vitrine.functions.nodes import (
-    Sel, all_attrs, all_texts, each, exists, first_attr, first_list, first_of, let, matches, parse_nodes, select,
+    PageNodes, Sel, all_attrs, all_texts, each, exists, first_attr, first_list, first_of, let, matches, parse_nodes, select,
     under, where,
 )
 from vitrine.operators.extract import BASE, base_url
@@ -25,7 +25,7 @@ CATEGORY_LINK = Sel(cls="category-link")
 LISTING_USED = (*LINKS, *CARDS, ANCHOR, *NEXT, LAST_PAGE, BASE)
 
 
-def product_links(nodes: str = "nodes") -> Column:
+def product_links(nodes: PageNodes = PageNodes("nodes")) -> Column:
     """Links to products as written: two link classes, else the first link of each card."""
     def first_link(card: str, anchors: str) -> str:
         return first_attr(where(anchors, lambda n: under(n, card)), "href")
@@ -35,7 +35,7 @@ def product_links(nodes: str = "nodes") -> Column:
     return F.expr(first_list(*[all_attrs(select(nodes, s), "href") for s in LINKS], from_cards))
 
 
-def next_page(nodes: str = "nodes", url: str = "url") -> Column:
+def next_page(nodes: PageNodes = PageNodes("nodes"), url: str = "url") -> Column:
     """Link to the next listing page as written, or null."""
     last = first_attr(select(nodes, LAST_PAGE), "href")
     usable = let(last, lambda u: (
@@ -191,7 +191,7 @@ CATEGORY_CHECKS = {
 }
 
 
-def _hit(sel: Sel, take: str, nodes: str = "nodes") -> Column:
+def _hit(sel: Sel, take: str, nodes: PageNodes = PageNodes("nodes")) -> Column:
     """Whether the selector finds something: a first value that is not empty, or any of all."""
     found = select(nodes, sel)
     many, take = take.startswith("all "), take.removeprefix("all ")
