@@ -29,9 +29,9 @@ def products_per_category(spark, sf):
     return _sql(spark, sf, "SELECT category, count(*) AS product_count FROM products GROUP BY category")
 
 
-@register("average_price_per_category", "A3", "SELECT p_type AS category, round(avg(p_retailprice), 4) AS avg_price FROM part GROUP BY 1")
+@register("average_price_per_category", "A3", "SELECT p_type AS category, round(avg(p_retailprice), 6) AS avg_price FROM part GROUP BY 1")
 def average_price_per_category(spark, sf):
-    return _sql(spark, sf, "SELECT category, round(avg(price), 4) AS avg_price FROM products GROUP BY category")
+    return _sql(spark, sf, "SELECT category, round(avg(price), 6) AS avg_price FROM products GROUP BY category")
 
 
 @register("products_without_images", "A4", "SELECT p_partkey AS id, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE p_name END AS name FROM part WHERE p_partkey % 4 < 2")

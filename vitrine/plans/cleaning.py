@@ -267,11 +267,11 @@ def correction_summary(spark, sf):
         CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 19 = 0 THEN -1 ELSE p_retailprice + p_size END AS original
       FROM part WHERE {_ACCEPTED})
     SELECT p_type AS category, count(*) AS product_count, round(avg(
-      CASE WHEN price > original THEN greatest(original, 0) WHEN price < 0 THEN 0 ELSE price END), 4) AS avg_price
+      CASE WHEN price > original THEN greatest(original, 0) WHEN price < 0 THEN 0 ELSE price END), 6) AS avg_price
     FROM d GROUP BY 1""")
 def category_prices_cleaned(spark, sf):
     return _chain(spark, sf).groupBy("category").agg(
-        F.count(F.lit(1)).alias("product_count"), F.round(F.avg("price"), 4).alias("avg_price"))
+        F.count(F.lit(1)).alias("product_count"), F.round(F.avg("price"), 6).alias("avg_price"))
 
 
 @register("collapsed_documents", "F10", r"""

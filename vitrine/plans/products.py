@@ -327,11 +327,11 @@ def product_attributes(spark, sf):
 
 
 @register("pages_to_clean_products", "X37 P20", f"""
-    SELECT category, count(*) AS product_count, round(avg(price), 4) AS avg_price, count(rating) AS rated FROM ({_PRODUCT}) GROUP BY 1""")
+    SELECT category, count(*) AS product_count, round(avg(price), 6) AS avg_price, count(rating) AS rated FROM ({_PRODUCT}) GROUP BY 1""")
 def pages_to_clean_products(spark, sf):
     cleaned = clean_products(_rows(spark, sf), source="shop.example")
     return cleaned.groupBy("category").agg(
-        F.count(F.lit(1)).alias("product_count"), F.round(F.avg("price"), 4).alias("avg_price"),
+        F.count(F.lit(1)).alias("product_count"), F.round(F.avg("price"), 6).alias("avg_price"),
         F.count("rating").alias("rated"))
 
 
