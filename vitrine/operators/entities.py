@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from vitrine.sources.scratch import cut_lineage
+
 
 def price_changes(
     history: DataFrame,
@@ -23,7 +25,10 @@ def price_changes(
     """
     order = [F.col(at)] + ([F.col(tie)] if tie else [])
     instant = F.unix_micros(F.col(at).cast("timestamp_ltz"))
-    marked = _joined_on(history, _cuts(history, keys, instant, hot_rows, pieces), keys)
+    # Written first: it is used twice, it is small (one row per hot key), and with
+    # its real size known Spark need not shuffle the history to join it.
+    cuts = cut_lineage(_cuts(history, keys, instant, hot_rows, pieces))
+    marked = _joined_on(history, cuts, keys)
     piece = F.when(F.col("_cuts").isNull(), 0).otherwise(
         F.size(F.filter("_cuts", lambda cut: cut < instant)))
     marked = marked.select(*history.columns, F.col("_cuts").isNotNull().alias("_hot"), piece.alias("_piece"))
