@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir`` of the session.
 
-    Only a local session without that setting gets a temporary folder.
+    A session without that setting gets a folder below its warehouse, which is
+    shared storage too.  A local path is refused when executors run elsewhere.
     """
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if known:
         return known
-    if not spark.sparkContext.master.startswith("local"):
+    folder = spark.conf.get("spark.sql.warehouse.dir")
+    if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="vitrine-")
+    return f"{folder.rstrip('/')}/vitrine-work"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -26,6 +27,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/vitrine-{uuid.uuid4().hex}/{name}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a step that nothing reads any more; the path must come from ``new_path``."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_step(df: DataFrame) -> str:
+    """Write as a table in the shared folder; returns its path."""
+    path = new_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise as a table in the shared folder and go on from there.
 
@@ -33,6 +48,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     twice), lost executors cost no recomputation, and the next join is planned
     with the real size.
     """
-    path = new_path(df.sparkSession, "step")
-    df.write.parquet(path)
+    path = write_step(df)
     return df.sparkSession.read.schema(df.schema).parquet(path)
