@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.llm.common import table
+from vitrine.llm.line_dedup import dedup_lines
 from vitrine.llm.packing import pack_documents
+from vitrine.llm.sharding import shard_documents
 from vitrine.llm.tokens import tokens_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -21,9 +27,31 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
+    "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
     "op7_token_files": op7_token_files,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_line_dedup": r"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts
+                      FROM documents),
+        lines AS (SELECT r, doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos FROM docs),
+        keyed AS (SELECT r, doc_id, pos, line, translate(
+            trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+        repeated AS (SELECT k, min(doc_id) AS owner FROM keyed WHERE length(k) >= 10
+                     GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+        marked AS (SELECT r, keyed.doc_id, pos, line, owner IS NOT NULL AND keyed.doc_id > owner AS gone
+                   FROM keyed LEFT JOIN repeated USING (k))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY r, doc_id""",
+}
