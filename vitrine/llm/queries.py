@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.llm.common import table
+from vitrine.llm.contamination import contained_items
 from vitrine.llm.line_dedup import dedup_lines
+from vitrine.llm.order_minhash import near_duplicate_groups
 from vitrine.llm.packing import pack_documents
 from vitrine.llm.sharding import shard_documents
 from vitrine.llm.tokens import tokens_round_trip
@@ -27,6 +29,15 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_round_trip(table(spark, sf_dir, "documents"))
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, sf_dir, "documents")).select(
+        "doc_id", "group_id", (F.col("doc_id") == F.col("group_id")).alias("kept"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -36,10 +47,24 @@ QUERIES: dict[str, Query] = {
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
     "op7_token_files": op7_token_files,
+    "op8_order_minhash": op8_order_minhash,
+    "op9_decontamination": op9_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op9_decontamination": r"""
+        WITH texts AS (SELECT 0 AS kind, doc_id AS id, text FROM documents
+                       UNION ALL SELECT 1, item_id, text FROM benchmark),
+        words AS (SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+                                               lambda w: w <> '') AS w FROM texts),
+        placed AS (SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE len(w) >= 5),
+        shingles AS (SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS s FROM placed),
+        sizes AS (SELECT id AS item_id, count(*) AS item_shingles FROM shingles WHERE kind = 1 GROUP BY 1),
+        shared AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared FROM shingles d
+                   JOIN shingles b ON d.s = b.s AND d.kind = 0 AND b.kind = 1 GROUP BY ALL)
+        SELECT doc_id, item_id, shared, item_shingles, shared / item_shingles AS containment
+        FROM shared JOIN sizes USING (item_id) WHERE shared / item_shingles >= 0.8""",
     "op10_line_dedup": r"""
         WITH docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts
                       FROM documents),
