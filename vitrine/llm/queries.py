@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.llm.common import table
 from vitrine.llm.contamination import contained_items
+from vitrine.llm.lattice_hash import near_vectors
 from vitrine.llm.line_dedup import dedup_lines
 from vitrine.llm.order_minhash import near_duplicate_groups
 from vitrine.llm.packing import pack_documents
@@ -17,6 +18,10 @@ from vitrine.llm.tokens import tokens_round_trip
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_lattice_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_lattice_hashing": op4_lattice_hashing,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
     "op7_token_files": op7_token_files,
