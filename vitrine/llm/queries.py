@@ -8,16 +8,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.llm.common import table
 from vitrine.llm.contamination import contained_items
+from vitrine.llm.language import identify_languages
 from vitrine.llm.lattice_hash import near_vectors
 from vitrine.llm.line_dedup import dedup_lines
 from vitrine.llm.order_minhash import near_duplicate_groups
 from vitrine.llm.packing import pack_documents
 from vitrine.llm.sharding import shard_documents
 from vitrine.llm.tokens import tokens_round_trip
+from vitrine.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op4_lattice_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -49,6 +59,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_toxicity": op2_toxicity,
+    "op3_language_id": op3_language_id,
     "op4_lattice_hashing": op4_lattice_hashing,
     "op5_sharding": op5_sharding,
     "op6_packing": op6_packing,
