@@ -11,6 +11,7 @@ from vitrine.llm.contamination import contained_items
 from vitrine.llm.language import identify_languages
 from vitrine.llm.lattice_hash import near_vectors
 from vitrine.llm.line_dedup import dedup_lines
+from vitrine.llm.main_text import extract_main_text
 from vitrine.llm.order_minhash import near_duplicate_groups
 from vitrine.llm.packing import pack_documents
 from vitrine.llm.sharding import shard_documents
@@ -20,6 +21,10 @@ from vitrine.llm.toxicity import score_toxicity
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +64,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_main_text": op1_main_text,
     "op2_toxicity": op2_toxicity,
     "op3_language_id": op3_language_id,
     "op4_lattice_hashing": op4_lattice_hashing,
