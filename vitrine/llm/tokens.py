@@ -28,7 +28,7 @@ from vitrine.sources.scratch import new_path
 VOCABULARY = "byte_bpe_50k.json"
 
 #: Distinct words whose ids a worker remembers; at the limit it starts anew.  Bounds memory, not results.
-WORDS_HELD = 600_000
+WORDS_HELD = 400_000
 
 #: Bytes of text that one round of encoding holds.
 ROUND_BYTES = 4 << 20
