@@ -4,18 +4,19 @@ A text is a sequence of words (runs of letters and digits in lower case) and
 of k-mers of ``WORDS`` words.  A k-mer is labelled with its occurrence number in
 the text, so each labelled k-mer is unique there and repeated passages count.
 A sketch takes the ``SAMPLED`` labelled k-mers of smallest hash and keeps them
-in text order; texts whose sketch agrees in one of ``TABLES`` hash functions
-are candidates.  A candidate pair is verified by the longest chain of common
+in text order; texts whose sketches agree in two of ``TABLES`` hash functions are
+candidates (99.9 % of the pairs at a similarity of 0.8, more above; texts that
+only share a passage seldom do).  A candidate pair is verified by the longest chain of common
 labelled k-mers that runs in the same order in both texts and inside the
 diagonal band that the threshold allows.  The similarity is the length of the
 chain over the number of labelled k-mers of both texts without it twice: the
 Jaccard similarity of word shingles, held to the order.  0.8 or more links.
 
 Equal texts are one node from the start.  In a bucket every text is compared
-with the smallest one first; after the components of these links, texts of one
-bucket that are still in different components are compared with each other,
-so no candidate is left out and a large group of near copies does not become
-all its pairs.
+with one lead first, in ``LEAD_TURNS`` turns with other leads; texts of one
+bucket that are then still in different components are compared with each
+other, so no candidate is left out and a large group of near copies does not
+become all its pairs.
 
 A text of fewer than ``WORDS`` words has one k-mer, the text.  Texts without a
 word (null and empty texts too) are in groups of their own, apart from equal
@@ -42,6 +43,7 @@ WORDS = 5
 SIMILARITY = 0.8
 SAMPLED = 3
 TABLES = 14
+LEAD_TURNS = 2
 
 _ROUND_BYTES = 4 << 20
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -170,14 +172,15 @@ def sketched(docs: DataFrame) -> DataFrame:
         sketches, f"doc_id {id_type}, key string, n bigint, bands array<bigint>")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of text keys whose similarity reaches the threshold."""
-    wanted = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    first = nodes.join(wanted, "key").select("key", F.col("first_id"))
+def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``key, text`` of the given nodes ``key, first_id``, once each."""
     rows = docs.select("doc_id", plain_text().alias("text"))
-    texts = cut_lineage(rows.join(first, rows["doc_id"].eqNullSafe(first["first_id"]))
-                        .where(_text_key() == F.col("key")).dropDuplicates(["key"]).select("key", "text"))
+    return (rows.join(nodes, rows["doc_id"].eqNullSafe(nodes["first_id"]))
+            .where(_text_key() == F.col("key")).dropDuplicates(["key"]).select("key", "text"))
+
 
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of text keys whose similarity reaches the threshold."""
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, np.ndarray] = {}  # the k-mers of the texts of a few pairs
 
@@ -199,36 +202,81 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(aligned, "a string, b string")
 
 
+def _shared(found: DataFrame) -> DataFrame:
+    """The rows ``bucket, key, ..`` whose bucket has several members."""
+    several = found.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
+    return found.join(several, "bucket")
+
+
+def candidate_buckets(nodes: DataFrame) -> DataFrame:
+    """``bucket, key, n``: texts of one bucket agree in two tables.
+
+    The buckets of single tables are only met by texts that share them, so few
+    tables are left to pair per text.
+    """
+    single = _shared(nodes.where("n > 0").select("key", "n", F.explode("bands").alias("bucket")))
+    tables = single.groupBy("key", "n").agg(F.array_sort(F.collect_set("bucket")).alias("met")).where("size(met) > 1")
+    paired = F.expr("""flatten(transform(sequence(1, size(met) - 1),
+        i -> transform(slice(met, i + 1, size(met)), other -> xxhash64(met[i - 1], other))))""")
+    return _shared(tables.select("key", "n", F.explode(paired).alias("bucket")))
+
+
+#: A similarity of s needs the shorter text to have at least s of the k-mers of the longer.
+_ALIKE = f"least(n, n_other) >= {SIMILARITY}D * greatest(n, n_other)"
+
+
+def _lead_pairs(members: DataFrame, nodes: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
+    """``a, b``: each text with the leads of its buckets, where they are still apart.
+
+    In the first turn a text meets the first of its leads alone.
+    """
+    leads = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key")).alias("lead"))
+    met = members.join(leads, "bucket").select("key", "n", F.col("lead.key").alias("lead"), F.col("lead.h").alias("h"))
+    if groups is None:
+        met = met.groupBy("key", "n").agg(F.min(F.struct("h", "lead")).alias("first")).select(
+            "key", "n", F.col("first.lead").alias("lead"))
+    met = met.where("key <> lead").select("key", "n", "lead").distinct().join(
+        nodes.select(F.col("key").alias("lead"), F.col("n").alias("n_other")), "lead").where(_ALIKE)
+    if groups is not None:
+        own = groups.select(F.col("node").alias("key"), F.col("component").alias("own"))
+        theirs = groups.select(F.col("node").alias("lead"), F.col("component").alias("theirs"))
+        met = met.join(own, "key", "left").join(theirs, "lead", "left").where(
+            "coalesce(own, key) <> coalesce(theirs, lead)")
+    return met.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
+
+
 def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     """``doc_id, key, group_id``: the smallest ``doc_id`` of the group each row belongs to."""
     rows = cut_lineage(sketched(docs))
     nodes = cut_lineage(rows.groupBy("key").agg(
         F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.any_value("bands").alias("bands")))
-    found = nodes.where("n > 0").select("key", "n", F.explode("bands").alias("bucket"))
-    shared = found.groupBy("bucket").agg(F.count("*").alias("members"), F.min("key").alias("lead")).where("members > 1")
-    members = cut_lineage(found.join(shared.select("bucket", "lead"), "bucket"))
-
-    # a similarity of s needs the shorter text to have at least s of the k-mers of the longer
-    leads = nodes.select(F.col("key").alias("lead"), F.col("n").alias("n_lead"))
-    alike = "least(n, n_lead) >= {0} * greatest(n, n_lead)".format(SIMILARITY)
-    pairs = cut_lineage(members.where("key <> lead").select("key", "lead", "n").distinct().join(leads, "lead")
-                        .where(alike).select(F.col("lead").alias("a"), F.col("key").alias("b")))
-    links = cut_lineage(_verified(pairs, docs, nodes))
-    groups = components(links)
-
-    # members of one bucket that are still apart
-    placed = members.select("bucket", "key", "n").join(
-        groups.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    members = cut_lineage(candidate_buckets(nodes))
+    texts = cut_lineage(_texts_of(docs, nodes.select("key", "first_id").join(
+        members.select("key").distinct(), "key", "left_semi")))
+
+    # a few turns of texts against the leads of their buckets join most of a large group
+    tested = links = groups = None
+    for turn in range(LEAD_TURNS):
+        pairs = _lead_pairs(members, nodes, groups, turn)
+        pairs = cut_lineage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        found = _verified(pairs, texts)
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        links = cut_lineage(found if groups is None else found.unionByName(
+            groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+        groups = components(links)
+
+    # members of one bucket that are still apart are compared with each other
+    placed = members.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "component", F.coalesce("component", "key"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     apart = placed.join(mixed.select("bucket"), "bucket")
     left = apart.select("bucket", F.col("key").alias("a"), F.col("component").alias("component_a"), "n")
     right = apart.select("bucket", F.col("key").alias("b"), F.col("component").alias("component_b"),
-                         F.col("n").alias("n_lead"))
-    rest = (left.join(right, "bucket").where(f"a < b AND component_a <> component_b AND {alike}")
-            .select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"))
-    more = _verified(cut_lineage(rest), docs, nodes)
-    joined = groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-    groups = components(joined)
+                         F.col("n").alias("n_other"))
+    rest = (left.join(right, "bucket").where(f"a < b AND component_a <> component_b AND {_ALIKE}")
+            .select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
+    more = _verified(cut_lineage(rest), texts)
+    groups = components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     named = nodes.select("key", "first_id").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "component", F.coalesce("component", "key"))
