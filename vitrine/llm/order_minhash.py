@@ -15,8 +15,8 @@ Jaccard similarity of word shingles, held to the order.  0.8 or more links.
 Equal texts are one node from the start.  In a bucket every text is compared
 with one lead first, in ``LEAD_TURNS`` turns with other leads; texts of one
 bucket that are then still in different components are compared with each
-other, so no candidate is left out and a large group of near copies does not
-become all its pairs.
+other where their rarest k-mers allow the similarity, so no candidate is left
+out and a large group of near copies does not become all its pairs.
 
 A text of fewer than ``WORDS`` words has one k-mer, the text.  Texts without a
 word (null and empty texts too) are in groups of their own, apart from equal
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vitrine.llm.common import byte_slices, plain_text, without_clashes
 from vitrine.llm.components import components
@@ -245,6 +245,40 @@ def _lead_pairs(members: DataFrame, nodes: DataFrame, groups: DataFrame | None,
     return met.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
 
 
+def _rare_pairs(apart: DataFrame) -> DataFrame:
+    """``a, b``: the texts ``key, component, text`` of different components that can reach the threshold.
+
+    Of two texts at the threshold each holds one of the rarest fifth of the
+    other's k-mers among its own rarest fifth (the prefix filter of exact set
+    joins), so no pair is lost.  Texts with more k-mers of their own than that
+    meet nothing, however many texts share the rest.
+    """
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text", _ROUND_BYTES):
+            labelled, kmers = labelled_kmers(batch.column("text").to_pylist())
+            at = pa.array(np.repeat(np.arange(len(kmers)), kmers))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key").take(at), batch.column("component").take(at),
+                 pa.array(np.repeat(kmers, kmers)), pa.array(labelled.view(np.int64))],
+                names=["key", "component", "n", "kmer"])
+
+    rows = cut_lineage(apart.select("key", "component", "text").mapInArrow(
+        exploded, "key string, component string, n bigint, kmer bigint"))
+    spread = rows.groupBy("kmer").agg(F.count("*").alias("held"), F.min("component").alias("lo"),
+                                      F.max("component").alias("hi")).where("held > 1")
+    shared = rows.join(spread, "kmer")
+    rank = Window.partitionBy("key").orderBy("held", "kmer")
+    kept = shared.withColumn("rank", F.row_number().over(rank)).withColumn(
+        "common", F.count("*").over(Window.partitionBy("key")))
+    # k-mers nobody else holds come first in the order
+    prefix = kept.where(f"n - common + rank <= n - ceil({SIMILARITY}D * n) + 1 AND lo < hi")
+    left = prefix.select("kmer", F.col("key").alias("a"), F.col("component").alias("component_a"), "n")
+    right = prefix.select("kmer", F.col("key").alias("b"), F.col("component").alias("component_b"),
+                          F.col("n").alias("n_other"))
+    return left.join(right, "kmer").where(
+        f"a < b AND component_a <> component_b AND {_ALIKE}").select("a", "b").distinct()
+
+
 def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     """``doc_id, key, group_id``: the smallest ``doc_id`` of the group each row belongs to."""
     rows = cut_lineage(sketched(docs))
@@ -269,13 +303,9 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     placed = members.join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "component", F.coalesce("component", "key"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    apart = placed.join(mixed.select("bucket"), "bucket")
-    left = apart.select("bucket", F.col("key").alias("a"), F.col("component").alias("component_a"), "n")
-    right = apart.select("bucket", F.col("key").alias("b"), F.col("component").alias("component_b"),
-                         F.col("n").alias("n_other"))
-    rest = (left.join(right, "bucket").where(f"a < b AND component_a <> component_b AND {_ALIKE}")
-            .select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
-    more = _verified(cut_lineage(rest), texts)
+    apart = placed.join(mixed.select("bucket"), "bucket", "left_semi").select("key", "component").distinct()
+    rest = cut_lineage(_rare_pairs(texts.join(apart, "key")).join(tested, ["a", "b"], "left_anti"))
+    more = _verified(rest, texts)
     groups = components(more.unionByName(groups.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     named = nodes.select("key", "first_id").join(groups.withColumnRenamed("node", "key"), "key", "left").withColumn(
