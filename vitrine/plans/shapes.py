@@ -14,22 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work when the input is one small file.
-
-    Page reading is compute-heavy.  A large input has more file splits than the
-    cluster has cores and is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"))
+    return table(spark, sf_dir, "pages")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +153,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
               ELSE concat({_HEAD}, {body}, '</body></html>') END AS html""",
         "CAST(p_size AS STRING) AS category_id", "concat('meta ', p_type) AS category_name",
     )
-    return spread(made)
+    return made
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +187,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat('<html><body><nav>', {named}, '<a href=\"/x\">x</a></nav></body></html>') AS menu_html",
         "CAST(p_size AS STRING) AS category_id", "p_type AS category_name",
     )
-    return spread(made)
+    return made
 
 
 # What the four event types stand for in a crawl log.

@@ -15,6 +15,8 @@ SETTINGS = {
     # Pages per Arrow batch are bounded by bytes, so large pages cannot exhaust a worker.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
     "spark.sql.session.timeZone": "UTC",
+    # An object with a repeated key keeps the last value instead of being no JSON at all.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Call-site capture doubles the cost of building large expressions.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
