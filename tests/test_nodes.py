@@ -1,5 +1,8 @@
+import time
+
 from pyspark.sql import functions as F
 
+from vitrine.functions import nodes
 from vitrine.functions.nodes import (
     Sel, all_attrs, all_texts, exists, first_attr, first_inner_text, first_list, first_of, first_outer_or_text, first_text,
     outer_html, parse_nodes, select,
@@ -97,3 +100,25 @@ def test_many_pages_in_one_batch(spark):
     nodes = pages.select("id", parse_nodes(F.col("html")).alias("nodes"))
     bad = nodes.where(F.expr(f"size({select('nodes', Sel(cls='c'))}) <> 40 OR {first_text(select('nodes', Sel('p')))} <> id"))
     assert bad.count() == 0
+
+
+def test_broken_pages_take_linear_time(spark):
+    n = 20_000
+    pages = {
+        "stray": "<div>" * n + "</b>" * n, "spans": "<span>" * n + "<p>x" * n,
+        "links": "".join(f'<a href="/{i}">word {i} ' for i in range(n)),
+    }
+    for page in pages.values():
+        began = time.perf_counter()
+        found = nodes._read_page(page, frozenset(("a",)))
+        assert time.perf_counter() - began < 1
+        assert sum(len(t) for f in found[1:] for t in f.deep or ()) <= len(page)
+    links = nodes._read_page(pages["links"], frozenset(("a",)))[1:]
+    assert [f.attrs["href"] for f in links[:2]] == ["/0", "/1"] and "".join(links[0].deep) == "word 0 "
+
+
+def test_start_tags_close_up_to_the_nearest_fence():
+    found = nodes._read_page("<ul><li>a<ul><li>b<li>c</ul><li>d</ul><p>x<div>y<p>z</div><a>1<div><a>2</a></div></a>", frozenset())
+    shown = [(f.tag, f.parent.tag) for f in found[1:]]
+    assert shown == [("ul", "#page"), ("li", "ul"), ("ul", "li"), ("li", "ul"), ("li", "ul"), ("li", "ul"),
+                     ("p", "#page"), ("div", "#page"), ("p", "div"), ("a", "#page"), ("div", "a"), ("a", "div")]

@@ -16,6 +16,8 @@ from __future__ import annotations
 import gc
 import re
 import sys
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from html import unescape
@@ -263,7 +265,7 @@ _CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",),
     "optgroup": ("option", "optgroup"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "thead": ("tr", "td", "th", "thead", "tbody", "tfoot"), "tbody": ("tr", "td", "th", "thead", "tbody", "tfoot"),
-    "tfoot": ("tr", "td", "th", "thead", "tbody", "tfoot"), "body": ("head",),
+    "tfoot": ("tr", "td", "th", "thead", "tbody", "tfoot"), "body": ("head",), "a": ("a",), "button": ("button",),
 }
 _CLOSES |= {tag: ("p",) for tag in _BLOCKS}
 _FENCES = {
@@ -272,6 +274,7 @@ _FENCES = {
 }
 _TABLE_FENCE = frozenset(("table",))
 _BLOCK_FENCE = frozenset("div td th li dd dt section article nav main aside header footer form body table".split())
+_FENCES |= {"a": _BLOCK_FENCE, "button": _BLOCK_FENCE}
 _NO_BLANK_TEXT = frozenset(("#page", "html", "head"))
 
 _TOKEN = re.compile(
@@ -310,10 +313,13 @@ class _Node:
 def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None) -> list[_Node]:
     """Element nodes of one page in document order; the first is the page itself.
 
-    With ``keep``, attributes are only read of nodes that may be wanted.
+    With ``keep``, attributes are only read of nodes that may be wanted.  The
+    places of the open elements are kept by tag, so a tag finds its partner
+    without a walk, however many elements a broken page leaves open.
     """
     root = _Node(0, None, "#page", {}, 0, True)
     nodes, stack, deep, count = [root], [root], [], 1
+    open_at: dict[str, list[int]] = defaultdict(list)
     tags, classes, names = set(), set(), set()
     at, size, pending = 0, len(html), 0
     search, closes = _TOKEN.search, _CLOSES.get
@@ -343,28 +349,23 @@ def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None
         tag = tag.lower()
         shut, stop = None, start
         if m["end"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    shut = depth
-                    stack[depth].stop = at
-                    break
+            if open_at[tag]:
+                shut = open_at[tag][-1]
+                stack[shut].stop = at
         else:
-            over = closes(tag)
+            over = [open_at[t] for t in closes(tag, ()) if open_at[t]]
             if over:
-                fence = _FENCES.get(tag) or (_BLOCK_FENCE if tag in _BLOCKS else _TABLE_FENCE)
-                for depth in range(len(stack) - 1, 0, -1):
-                    open_tag = stack[depth].tag
-                    if open_tag in over:
-                        shut = depth
-                    elif open_tag in fence:
-                        break
+                fences = _FENCES.get(tag) or (_BLOCK_FENCE if tag in _BLOCKS else _TABLE_FENCE)
+                fence = max((open_at[t][-1] for t in fences if open_at[t]), default=0)
+                shut = min((places[bisect_right(places, fence)] for places in over if places[-1] > fence), default=None)
         if shut is not None:
-            for n in stack[shut:]:
+            for n in reversed(stack[shut:]):
                 n.last, n.kid = count - 1, None  # without links down, pages free themselves
                 if n.stop == n.start:
                     n.stop = stop
                 if n.deep is not None:
-                    deep.remove(n)
+                    deep.pop()
+                open_at[n.tag].pop()
             del stack[shut:]
         if m["end"]:
             continue
@@ -388,6 +389,7 @@ def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None
         if tag in _VOID:
             n.stop = at
             continue
+        open_at[tag].append(len(stack))
         stack.append(n)
         if wanted and tag in full_text:
             n.deep = []
