@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from vitrine.functions import text
 from vitrine.operators import extract as X
 
 P = X.Page()
@@ -130,3 +131,12 @@ def test_rows_without_name_are_left_out(spark):
         [("https://e/1", "<h1> </h1>"), ("https://e/2", "<p>x</p>"), ("https://e/3", "<h1>N</h1>")], "url string, html string")
     rows = X.product_rows(pages, scraped_at=1, source="e").collect()
     assert [(r["product_id"], r["name"], r["source"], r["stock_data"], r["assets"]) for r in rows] == [("3", "N", "e", None, None)]
+
+
+def test_first_value_that_can_be_read_counts(spark):
+    pairs = "array(struct('Крепость' AS k, 'крепкий' AS v), struct('ABV' AS k, '40%' AS v), struct('Год' AS k, 'нет' AS v), " \
+            "struct('Vintage' AS k, '1999' AS v), struct('Страна' AS k, ' ' AS v), struct('country' AS k, ' RU ' AS v))"
+    row = spark.range(1).select(F.expr(pairs).alias("p")).select(
+        X.routed(F.col("p"), "alcohol_content", text.extract_float), X.routed(F.col("p"), "year", text.extract_number),
+        X.routed(F.col("p"), "country"), X.routed(F.col("p"), "volume")).first()
+    assert tuple(row) == (40.0, 1999, "RU", None)

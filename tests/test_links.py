@@ -52,6 +52,16 @@ def test_page_depth_against_brute_force(spark):
     assert {r["url"]: r["page"] for r in got.collect()} == depth_by_hand(seeds, edges)
 
 
+def test_category_travels_along_the_chain(spark):
+    depth = links.page_depth(
+        spark.createDataFrame([("a1", "A", "7"), ("b1", "B", None)], "url string, category_name string, category_id string"),
+        spark.createDataFrame([("a1", "a2"), ("a2", "a3"), ("a3", "both"), ("b1", "both"), ("both", "end")], "url string, next_url string"))
+    assert {r["url"]: (r["page"], r["category_name"], r["category_id"]) for r in depth.collect()} == {
+        "a1": (1, "A", "7"), "a2": (2, "A", "7"), "a3": (3, "A", "7"), "b1": (1, "B", None), "both": (2, "B", None), "end": (3, "B", None)}
+    listing = spark.createDataFrame([("a3", "x"), ("alone", "y")], "url string, category_id string")
+    assert {r["url"]: r["category_id"] for r in links.with_seed_category(listing, depth).collect()} == {"a3": "7", "alone": None}
+
+
 def test_cards_categories_and_checks(spark):
     page = spark.createDataFrame([("""<div class="product-item" data-product-id="1"><b class="product-name"> A  B </b><i class="product-price">5 ₽</i>
         <img class="product-image" src="/i"></div><div class="product-item"></div><a class="category-link" href="/c"><b>Cat</b></a>""",)], "html string")

@@ -524,10 +524,11 @@ def characteristics_map(pairs: Column) -> Column:
     return F.map_from_entries(pairs)
 
 
-def routed(pairs: Column, field: str) -> Column:
-    """First value whose lower-case key is one of the names of the field."""
-    hits = F.filter(pairs, lambda e: F.lower(e["k"]).isin(*ROUTES[field]) & (e["v"] != ""))
-    return F.try_element_at(hits, F.lit(1))["v"]
+def routed(pairs: Column, field: str, convert=text.strip) -> Column:
+    """First value that can be converted, of all whose lower-case key is one of the names of the field."""
+    hits = F.filter(pairs, lambda e: F.lower(e["k"]).isin(*ROUTES[field]))
+    read = F.transform(hits, lambda e: convert(e["v"]))
+    return text.first_value(F.filter(read, lambda v: v.isNotNull() & (v.cast("string") != "")))
 
 
 def special_field(p: Page, pairs: Column, field: str) -> Column:
@@ -703,10 +704,10 @@ def product_rows(
         "original_price": F.col("price_data.original"),
         "discount_percentage": text.calculate_discount(F.col("price_data.original"), F.col("price_data.current")),
         "volume": some(routed(F.col("pairs"), "volume")),
-        "alcohol_content": text.extract_float(routed(F.col("pairs"), "alcohol_content")),
+        "alcohol_content": routed(F.col("pairs"), "alcohol_content", text.extract_float),
         "brand": F.nullif(text.clean_title(F.col("brand")), F.lit("")),
         "country": some(routed(F.col("pairs"), "country")),
-        "year": F.nullif(text.extract_number(routed(F.col("pairs"), "year")).cast("string"), F.lit("0")),
+        "year": F.nullif(routed(F.col("pairs"), "year", text.extract_number).cast("string"), F.lit("0")),
         "description": F.nullif(F.col("description"), F.lit("")),
         "stock_data": F.col("stock_data"),
         "in_stock": F.col("stock_data.in_stock"),

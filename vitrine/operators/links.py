@@ -10,7 +10,7 @@ from vitrine.functions.nodes import (
     under, where,
 )
 from vitrine.operators.extract import BASE, base_url
-from vitrine.sources.scratch import cut_lineage
+from vitrine.sources.scratch import remove_path, write_step
 
 # Where links are looked for, in order.
 LINKS = (Sel("a", cls="product-link"), Sel("a", cls="catalog-product"))
@@ -95,26 +95,50 @@ def attribute_pages(pages: DataFrame, requests: DataFrame) -> DataFrame:
 def page_depth(seeds: DataFrame, next_links: DataFrame) -> DataFrame:
     """Page number of every listing page reachable from the seeds.
 
-    ``seeds(url)`` are page 1 and ``next_links(url, next_url)`` the next links.
+    ``seeds(url, ...)`` are page 1 and ``next_links(url, next_url)`` the next
+    links; of several next links of one page the smallest counts.  Further
+    columns of the seeds, such as the category, travel along with the page
+    number of the nearest seed (of equally near ones: the smallest values).
     Chains are doubled: after k rounds a jump covers 2^k pages, so a chain of a
     million pages takes 20 rounds of equi-joins and no depth limit is needed.
     A page reached twice keeps its lowest number, which also ends on cycles.
     """
-    reach = cut_lineage(seeds.select("url", F.lit(1).cast("bigint").alias("page")).distinct())
+    spark = seeds.sparkSession
+    carried = [c for c in seeds.columns if c != "url"]
+
+    def nearest(rows: DataFrame) -> DataFrame:
+        if not carried:
+            return rows.groupBy("url").agg(F.min("page").alias("page"))
+        return rows.groupBy("url").agg(F.min(F.struct("page", *carried)).alias("first")).select("url", "first.*")
+
+    def step_table(df: DataFrame, *done: str) -> tuple[str, DataFrame]:
+        """Write a step, then remove the steps that only it has read."""
+        path = write_step(df)
+        for old in done:
+            remove_path(spark, old)
+        return path, spark.read.schema(df.schema).parquet(path)
+
+    reach_at, reach = step_table(nearest(seeds.select("url", F.lit(1).cast("bigint").alias("page"), *carried)))
     jumps = next_links.where("next_url IS NOT NULL").groupBy("url").agg(F.min("next_url").alias("target"))
-    jumps = cut_lineage(jumps.select(F.col("url").alias("origin"), "target"))
+    jumps_at, jumps = step_table(jumps.select(F.col("url").alias("origin"), "target"))
     step, known = 1, reach.count()
     while True:
         further = reach.join(jumps, F.col("url") == F.col("origin")).select(
-            F.col("target").alias("url"), (F.col("page") + step).alias("page"))
-        reach = cut_lineage(reach.unionByName(further).groupBy("url").agg(F.min("page").alias("page")))
+            F.col("target").alias("url"), (F.col("page") + step).alias("page"), *carried)
+        reach_at, reach = step_table(nearest(reach.unionByName(further)), reach_at)
         reached = reach.count()
         if reached == known:
+            remove_path(spark, jumps_at)
             return reach
         known, step = reached, step * 2
         onward = jumps.select(F.col("origin").alias("via"), F.col("target").alias("goal"))
-        jumps = cut_lineage(jumps.join(onward, F.col("target") == F.col("via")).select(
-            "origin", F.col("goal").alias("target")))
+        jumps_at, jumps = step_table(jumps.join(onward, F.col("target") == F.col("via")).select(
+            "origin", F.col("goal").alias("target")), jumps_at)
+
+
+def with_seed_category(listing: DataFrame, depth: DataFrame) -> DataFrame:
+    """Listing pages with ``page`` and what :func:`page_depth` carried from the seed of their chain."""
+    return listing.drop(*[c for c in depth.columns if c != "url"]).join(depth, "url", "left")
 
 
 def listing_cards(pages: DataFrame) -> DataFrame:

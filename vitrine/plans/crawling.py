@@ -99,14 +99,19 @@ def next_pages(spark, sf):
     return links.listing_pages(listing_pages(spark, sf)).select("page_id", "next_url")
 
 
+def _category_seeds(spark, sf):
+    return listing_pages(spark, sf).where("category_id IS NOT NULL").select("url", "category_id", "category_name")
+
+
 @register("attributed_pages", "H7", """
     WITH l AS (SELECT p_partkey AS page_id, unnest([p_partkey, p_partkey + 1]) AS target FROM part WHERE p_partkey % 4 < 3),
       f AS (SELECT target, min(page_id) AS page_id FROM l GROUP BY 1)
     SELECT c.p_partkey AS product, p.p_type AS category_name, CAST(p.p_size AS VARCHAR) AS category_id
-    FROM part c LEFT JOIN f ON target = c.p_partkey LEFT JOIN part p ON p.p_partkey = f.page_id""")
+    FROM part c LEFT JOIN f ON target = c.p_partkey LEFT JOIN part p ON p.p_partkey = f.page_id - f.page_id % 50""")
 def attributed_pages(spark, sf):
-    listing = links.listing_pages(listing_pages(spark, sf)).select(
-        "page_id", "category_id", "category_name", "links")
+    listing = links.listing_pages(listing_pages(spark, sf)).select("page_id", "url", "links", "next_url")
+    listing = links.with_seed_category(
+        listing, links.page_depth(_category_seeds(spark, sf), listing.select("url", "next_url")))
     requests = links.fetch_once(links.link_rows(listing), "page_id", "position")
     goods = table(spark, sf, "part").selectExpr(
         "p_partkey AS product", f"concat('{SHOP}/product/', p_partkey, '/') AS url")
@@ -114,13 +119,14 @@ def attributed_pages(spark, sf):
 
 
 @register("page_depth", "H8", f"""
-    WITH RECURSIVE d(k, page) AS (SELECT p_partkey, 1 FROM part WHERE p_partkey % 50 = 0
-      UNION ALL SELECT k + 1, page + 1 FROM d WHERE k % 50 <> 49 AND k + 1 <= (SELECT max(p_partkey) FROM part))
-    SELECT '{SHOP}/page/' || k AS url, page::BIGINT AS page FROM d""")
+    WITH RECURSIVE d(k, page, category_id, category_name) AS (
+      SELECT p_partkey, 1, CAST(p_size AS VARCHAR), p_type FROM part WHERE p_partkey % 50 = 0
+      UNION ALL SELECT k + 1, page + 1, category_id, category_name FROM d
+        WHERE k % 50 <> 49 AND k + 1 <= (SELECT max(p_partkey) FROM part))
+    SELECT '{SHOP}/page/' || k AS url, page::BIGINT AS page, category_id, category_name FROM d""")
 def page_depth(spark, sf):
     listing = links.listing_pages(listing_pages(spark, sf)).select("page_id", "url", "next_url")
-    seeds = table(spark, sf, "part").where("p_partkey % 50 = 0").selectExpr(f"concat('{SHOP}/page/', p_partkey) AS url")
-    return links.page_depth(seeds, listing.select("url", "next_url"))
+    return links.page_depth(_category_seeds(spark, sf), listing.select("url", "next_url"))
 
 
 @register("likely_products", "H9", "SELECT p_partkey AS page_id FROM part WHERE p_partkey % 20 <> 19")

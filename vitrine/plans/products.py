@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vitrine.functions.text import extract_float, extract_number, strip
 from vitrine.operators import extract as X
 from vitrine.operators.clean import clean_products
 from vitrine.plans.registry import register
@@ -170,7 +171,7 @@ def descriptions(spark, sf):
     return _take(spark, sf, description=X.description(_P))
 
 
-_TABLE = """CASE WHEN l = 0 THEN 'Объем=' || (p_size + 1) || ' мл; Крепость=' || p_size || '.5%; Страна=' || p_type ||
+_TABLE = """CASE WHEN l = 0 THEN 'ABV=крепкий; Vintage=нет; Объем=' || (p_size + 1) || ' мл; Крепость=' || p_size || '.5%; Страна=' || p_type ||
   '; Год=урожай ' || (1990 + p_size) ELSE '' END"""
 _LIST = "CASE WHEN l = 1 THEN 'Volume=' || p_size || ' мл; ABV=' || p_size ELSE '' END"
 _DIV = "CASE WHEN l = 2 THEN 'Country=' || p_type || '; Страна=other' ELSE '' END"
@@ -205,19 +206,22 @@ def characteristics(spark, sf):
 
 _ROUTED = {
     "volume": "CASE l WHEN 0 THEN (p_size + 1) || ' мл' WHEN 1 THEN p_size || ' мл' WHEN 3 THEN p_size || 'ml' END",
-    "alcohol_content": "CASE l WHEN 0 THEN p_size || '.5%' WHEN 1 THEN CAST(p_size AS VARCHAR) END",
+    "alcohol_content": "CASE l WHEN 0 THEN p_size + 0.5 WHEN 1 THEN p_size END::DOUBLE",
     "country": "CASE l WHEN 0 THEN p_type WHEN 2 THEN p_type END",
-    "year": "CASE WHEN l = 0 THEN 'урожай ' || (1990 + p_size) END",
+    "year": "CASE WHEN l = 0 THEN 1990 + p_size END::BIGINT",
 }
 
 
 @register("routed_characteristics", "X27", f"SELECT k, {', '.join(f'{v} AS {n}' for n, v in _ROUTED.items())} FROM {_FROM}")
 def routed_characteristics(spark, sf):
     picked = _take(spark, sf, pairs=X.characteristics(_P))
-    return picked.select("k", *[X.routed(F.col("pairs"), n).alias(n) for n in _ROUTED])
+    read = {"alcohol_content": extract_float, "year": extract_number}
+    return picked.select("k", *[X.routed(F.col("pairs"), n, read.get(n, strip)).alias(n) for n in _ROUTED])
 
 
 _SPECIAL = _ROUTED | {
+    "alcohol_content": "CASE l WHEN 0 THEN 'крепкий' WHEN 1 THEN CAST(p_size AS VARCHAR) END",
+    "year": "CASE WHEN l = 0 THEN 'нет' END",
     "sku": "CASE WHEN l = 0 THEN 'SKU-' || k END", "product_code": "CASE WHEN l = 3 THEN 'C-' || k END"}
 
 
@@ -229,7 +233,7 @@ def special_fields(spark, sf):
 
 @register("metadata", "X29", f"""
     SELECT k, {_DESCRIPTION} AS description, {_SPECIAL['volume']} AS volume, {_SPECIAL['product_code']} AS product_code,
-      [4, 2, 2, 5][l + 1] AS entry_count FROM {_FROM}""")
+      [6, 2, 2, 5][l + 1] AS entry_count FROM {_FROM}""")
 def metadata(spark, sf):
     picked = _parsed(spark, sf).select(
         "k", "nodes", X.characteristics(_P).alias("pairs"), X.description(_P).alias("description"))

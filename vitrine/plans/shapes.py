@@ -101,7 +101,8 @@ _LAYOUTS = (
     '<video src="/t/', p_partkey, '.mp4"><source src="/s/', p_partkey, '.mp4"></video>',
     '<iframe src="//www.youtube.com/e/', p_partkey, '"></iframe><iframe src="https://vimeo.com/', p_partkey, '"></iframe>',
     '<div class="product-description">\n ', p_name, ' by ', p_brand, ' </div>',
-    '<table class="characteristics"><tr><td>Объем</td><td>', p_size, ' мл</td></tr>',
+    '<table class="characteristics"><tr><td>ABV</td><td>крепкий</td></tr><tr><td>Vintage</td><td>нет</td></tr>',
+    '<tr><td>Объем</td><td>', p_size, ' мл</td></tr>',
     '<tr><td>Крепость</td><td> ', p_size, '.5% </td><tr><td>Страна<td>', p_type,
     '<tr><td>Год</td><td>урожай ', 1990 + p_size, '</td></tr><tr><td>Объем</td><td>', p_size + 1, ' мл</td></tr></table>',
     '<select class="volume-selector"><option>select<option> ', p_size, ' ml<option>', p_size, ' ML<option>Large</select>',
@@ -157,7 +158,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One listing page per part, in four layouts, chained 50 pages long."""
+    """One listing page per part, in four layouts, chained 50 pages long; only the first of a chain knows its category."""
     target = lambda k: f"'/product/', {k}, '/'"
     links = f"""CASE p_partkey % 4
       WHEN 0 THEN concat('<a class="product-link" href="', {target('p_partkey')}, '">x</a>',
@@ -185,7 +186,8 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat('<html><body>', {links}, {following}, '</body></html>') AS html",
         f"concat('<html><body><ul>', {cards}, '<li>', {cards}, '</ul></body></html>') AS card_html",
         f"concat('<html><body><nav>', {named}, '<a href=\"/x\">x</a></nav></body></html>') AS menu_html",
-        "CAST(p_size AS STRING) AS category_id", "p_type AS category_name",
+        "CASE WHEN p_partkey % 50 = 0 THEN CAST(p_size AS STRING) END AS category_id",
+        "CASE WHEN p_partkey % 50 = 0 THEN p_type END AS category_name",
     )
     return made
 
