@@ -122,3 +122,41 @@ def test_categories(spark, folder):
     assert tuple(tables.load_categories(spark, f"{folder}/categories.json").collect()[0]) == ("1", "Вино", "https://e/vino/")
     urls = spark.createDataFrame([("https://e.com/category/konyak/",)], "url string")
     assert tables.categories_from_urls(urls).collect()[0]["name"] == "Konyak"
+
+
+def test_json_is_read_by_its_content(spark, folder):
+    rows = [{"product_id": str(i), "name": "n", "price": 1.5} for i in range(1000)]
+    df = spark.createDataFrame(rows, "product_id string, name string, price double").repartition(4)
+    files.write_products(df, f"{folder}/own.json")
+    own = files.read_products(spark, f"{folder}/own.json", schema="product_id string, name string, price double")
+    assert own.count() == own.select("product_id").distinct().count() == 1000
+    assert files.read_json_text(spark, f"{folder}/own.json").count() == 1000
+    files.convert(spark, f"{folder}/own.json", f"{folder}/own.csv")
+    assert files.read_products(spark, f"{folder}/own.csv").count() == 1000
+    os.makedirs(f"{folder}/mixed.json")
+    for name, content in {
+        "array": json.dumps(rows[:3], indent=2), "one": json.dumps(rows[3], indent=2), "flat": json.dumps(rows[4]), "empty": "",
+        "lines": "\n\n" + "\n".join(map(json.dumps, rows[5:9])),
+    }.items():
+        with open(f"{folder}/mixed.json/{name}.json", "w") as out:
+            out.write(content)
+    mixed = files.read_products(spark, f"{folder}/mixed.json", schema="product_id string, price double")
+    assert sorted(r["product_id"] for r in mixed.collect()) == [str(i) for i in range(9)]
+    assert files.read_json_text(spark, f"{folder}/mixed.json").count() == 9
+
+
+def test_what_does_not_fit_is_told(spark, folder):
+    with open(f"{folder}/a.jsonl", "w") as out:
+        out.write('{"product_id": "1"}\n{"product_id": \n')
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        files.read_products(spark, f"{folder}/a.jsonl", schema="product_id string").collect()
+    kept = files.read_products(spark, f"{folder}/a.jsonl", schema="product_id string", corrupt="bad").collect()
+    assert [(r["product_id"], r["bad"]) for r in kept] == [("1", None), (None, '{"product_id": ')]
+    with open(f"{folder}/a.xml", "w") as out:
+        out.write("<products><product><name>a</name><price>abc</price></product></products>")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        files.read_products(spark, f"{folder}/a.xml", schema="name string, price double").collect()
+    with open(f"{folder}/cut.json", "w") as out:
+        out.write('[{"a": 1},\n {"a"')
+    with pytest.raises(Exception, match="not one JSON document"):
+        files.read_json_text(spark, f"{folder}/cut.json").collect()

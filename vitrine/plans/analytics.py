@@ -10,28 +10,23 @@ from vitrine.plans.shapes import price_snapshots, stored_products, table
 from vitrine.sources.tables import query
 
 
-def _view(spark, sf):
-    stored_products(spark, sf).createOrReplaceTempView("products")
-
-
 def _sql(spark, sf, text, params=None):
-    _view(spark, sf)
-    return query(spark, text, params)
+    return query(spark, text, params, products=stored_products(spark, sf))
 
 
 @register("total_products", "A1", "SELECT count(*) AS total FROM part")
 def total_products(spark, sf):
-    return _sql(spark, sf, "SELECT count(*) AS total FROM products")
+    return _sql(spark, sf, "SELECT count(*) AS total FROM {products}")
 
 
 @register("products_per_category", "A2", "SELECT p_type AS category, count(*) AS product_count FROM part GROUP BY 1")
 def products_per_category(spark, sf):
-    return _sql(spark, sf, "SELECT category, count(*) AS product_count FROM products GROUP BY category")
+    return _sql(spark, sf, "SELECT category, count(*) AS product_count FROM {products} GROUP BY category")
 
 
 @register("average_price_per_category", "A3", "SELECT p_type AS category, round(avg(p_retailprice), 6) AS avg_price FROM part GROUP BY 1")
 def average_price_per_category(spark, sf):
-    return _sql(spark, sf, "SELECT category, round(avg(price), 6) AS avg_price FROM products GROUP BY category")
+    return _sql(spark, sf, "SELECT category, round(avg(price), 6) AS avg_price FROM {products} GROUP BY category")
 
 
 @register("products_without_images", "A4", "SELECT p_partkey AS id, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE p_name END AS name FROM part WHERE p_partkey % 4 < 2")
@@ -41,12 +36,12 @@ def products_without_images(spark, sf):
 
 @register("top_prices", "A5", "SELECT p_partkey AS id, p_retailprice AS price FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 10")
 def top_prices(spark, sf):
-    return _sql(spark, sf, "SELECT id, price FROM products ORDER BY price DESC, id LIMIT 10")
+    return _sql(spark, sf, "SELECT id, price FROM {products} ORDER BY price DESC, id LIMIT 10")
 
 
 @register("last_seven_days", "A6", "SELECT p_partkey AS id FROM part WHERE p_partkey % 30 > 22")
 def last_seven_days(spark, sf):
-    return _sql(spark, sf, """SELECT id FROM products
+    return _sql(spark, sf, """SELECT id FROM {products}
         WHERE created_at > timestamp_ntz'2024-01-30' - INTERVAL 7 DAYS""")
 
 
@@ -60,12 +55,12 @@ def orders_last_seven_days(spark, sf):
 
 @register("price_above", "A7 A13", "SELECT p_partkey AS id, p_retailprice AS price FROM part WHERE p_retailprice > 950")
 def price_above(spark, sf):
-    return _sql(spark, sf, "SELECT id, price FROM products WHERE price > ? ORDER BY price DESC", [950])
+    return _sql(spark, sf, "SELECT id, price FROM {products} WHERE price > ? ORDER BY price DESC", [950])
 
 
 @register("category_products", "A8 A13", "SELECT p_partkey AS id, p_brand AS brand FROM part WHERE p_type = 'PROMO'")
 def category_products(spark, sf):
-    return _sql(spark, sf, "SELECT id, brand FROM products WHERE category = :category", {"category": "PROMO"})
+    return _sql(spark, sf, "SELECT id, brand FROM {products} WHERE category = :category", {"category": "PROMO"})
 
 
 @register("product_names", "A9", "SELECT CASE WHEN p_partkey % 11 = 0 THEN '' ELSE p_name END AS name FROM part")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from vitrine.operators import monitor
 from vitrine.plans.registry import register
@@ -56,11 +56,31 @@ def jsonl_round_trip(spark, sf):
     return _shown(_there_and_back(spark, sf, "jsonl"))
 
 
-@register("json_round_trip", "S5 S6", _BACK)
+@register("json_round_trip", "S1 S5 S6", _BACK)
 def json_round_trip(spark, sf):
-    path = new_path(spark, "products.json")
-    files.write_products(_export(spark, sf), path)
-    return _shown(files.read_products(spark, path, fmt="jsonl", schema=_EXPORT))
+    return _shown(_there_and_back(spark, sf, "json"))
+
+
+@register("json_converted", "S1 S17", f"SELECT CAST(p_partkey AS VARCHAR) AS product_id, {_NAME} AS name FROM part")
+def json_converted(spark, sf):
+    """JSON to JSON Lines, both told by their names and content."""
+    source, target = new_path(spark, "products.json"), new_path(spark, "products.jsonl")
+    files.write_products(_export(spark, sf), source)
+    files.convert(spark, source, target, columns=["product_id", "name"], schema=_EXPORT)
+    return files.read_products(spark, target, schema="product_id string, name string")
+
+
+@register("json_bad_rows", "S2", """
+    SELECT CAST(p_partkey AS VARCHAR) AS product_id, false AS is_bad FROM part WHERE p_partkey % 5 <> 0
+    UNION ALL SELECT NULL, true FROM part WHERE p_partkey % 5 = 0""")
+def json_bad_rows(spark, sf):
+    """Lines cut short keep their row, named as bad."""
+    path = new_path(spark, "products.jsonl")
+    table(spark, sf, "part").selectExpr("""concat('{"product_id":"', p_partkey,
+        CASE WHEN p_partkey % 5 = 0 THEN '"' ELSE '"}' END) AS value""").write.text(path)
+    found = files.read_products(spark, path, schema="product_id string", corrupt="_corrupt")
+    return found.select(F.when(F.col("_corrupt").isNull(), F.col("product_id")).alias("product_id"),
+                        F.col("_corrupt").isNotNull().alias("is_bad"))
 
 
 @register("xml_round_trip", "S4 S5 S10", _BACK)
@@ -206,11 +226,15 @@ def storage_types(spark, sf):
     return stored.select(F.expr(f"stack({len(df.columns)}, {entries}) AS (field, stored_as, stored)"))
 
 
-@register("newest_first_export", "S14", f"SELECT CAST(p_partkey AS VARCHAR) AS product_id, {_NAME} AS name FROM part")
+@register("newest_first_export", "S14", f"SELECT CAST(p_partkey AS VARCHAR) AS product_id, {_NAME} AS name, true AS is_in_order FROM part")
 def newest_first_export(spark, sf):
+    """Each row with a check of its place: older than the row before it in its file."""
     path = new_path(spark, "export.json")
     tables.export_json(spark, path, _stored(spark, sf))
-    return spark.read.schema("product_id string, name string").json(path)
+    rows = files.read_json_text(spark, path).select(
+        F.from_json("value", "id bigint, product_id string, name string").alias("r"), "row_order")
+    before = F.lag("r.id").over(Window.partitionBy("row_order.file").orderBy("row_order"))
+    return rows.select("r.product_id", "r.name", F.coalesce(before > F.col("r.id"), F.lit(True)).alias("is_in_order"))
 
 
 @register("table_csv_export", "S15", f"SELECT CAST(p_partkey AS VARCHAR) AS product_id, {_NAME} AS name FROM part")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 FORMATS = {"json": "json", "jsonl": "jsonl", "ndjson": "jsonl", "csv": "csv", "xml": "xml"}
 ROOT_TAG, ROW_TAG, ITEM_TAG = "products", "product", "item"
@@ -17,31 +17,67 @@ def detect_format(path: str) -> str:
 
 
 def read_products(
-    spark: SparkSession, path: str, fmt: str = "auto", schema: T.StructType | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, fmt: str = "auto", schema: T.StructType | str | None = None, multi_line: bool = True,
+    corrupt: str | None = None,
 ) -> DataFrame:
     """Rows of a product file or folder.
 
-    ``json`` is an array (or one object) per file, ``jsonl`` one object per
-    line, ``csv`` has a header and gives text only, ``xml`` has one ``product``
+    ``json`` is an array (or one object) per file, or one object per line as
+    this library writes it: the first line of each file tells (see
+    :func:`json_layouts`).  ``jsonl`` is one object per line, ``csv`` has a header and gives text only, ``xml`` has one ``product``
     element per row.  Give a schema where it is known: without one Spark reads
     the input twice.  CSV cells may hold line breaks, which makes a file one
     task; with ``multi_line=False`` large CSV files without them are split.
+    An array file is one task too, since it cannot be split.
+
+    JSON and XML that do not fit the schema raise an error; with ``corrupt``
+    such a row stays and its text lands in the column of that name.
     """
     fmt = detect_format(path) if fmt == "auto" else fmt
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    if corrupt is not None and schema is not None and corrupt not in schema.names:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+
+    def reader(form: T.StructType | None = schema) -> DataFrameReader:
+        bad = {"mode": "FAILFAST"} if corrupt is None else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
+        return (spark.read if form is None else spark.read.schema(form)).options(**bad)
+
     if fmt == "json":
-        return reader.option("multiLine", True).json(path)
+        lines, documents = json_layouts(spark, path)
+        if not documents:
+            return reader().json(path)
+        if not lines:
+            return reader().option("multiLine", True).json(path)
+        return reader().option("basePath", path).json(lines).unionByName(
+            reader().option("basePath", path).option("multiLine", True).json(documents), allowMissingColumns=True)
     if fmt == "jsonl":
-        return reader.json(path)
+        return reader().json(path)
     if fmt == "csv":
         rows = spark.read.options(header=True, multiLine=multi_line, escape='"').csv(path)
         return rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns])
     if fmt == "xml":
-        return _from_items(reader.option("rowTag", ROW_TAG).format("xml").load(path) if schema is None
-                           else spark.read.schema(_with_items(schema)).option("rowTag", ROW_TAG).format("xml").load(path))
+        layout = None if schema is None else _with_items(schema)
+        return _from_items(reader(layout).option("rowTag", ROW_TAG).format("xml").load(path))
     raise ValueError(f"Unsupported format: {fmt}")
 
 
+def json_layouts(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Files below a path that hold one object per line, and files that hold one document.
+
+    A file is of lines when its first line that is not blank is a whole object.
+    One pass over the text, combined on the map side; the driver holds the file
+    names, which it lists for any read.  ``fmt="jsonl"`` does without.
+    """
+    line, first_block = F.trim("value"), F.col("_metadata.file_block_start") == 0
+    whole = (line.startswith("{") & line.endswith("}")).cast("bigint")
+    place = F.monotonically_increasing_id() * 2 + whole
+    firsts = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.when(first_block & (line != ""), place).alias("place")
+    ).groupBy("file").agg((F.min("place") % 2 == 1).alias("is_lines")).where("is_lines IS NOT NULL").collect()
+    return [r["file"] for r in firsts if r["is_lines"]], [r["file"] for r in firsts if not r["is_lines"]]
+
+
 def write_products(df: DataFrame, path: str, fmt: str = "auto", mode: str = "errorifexists") -> None:
     """Write in one of the formats; every task writes its own part."""
     fmt = detect_format(path) if fmt == "auto" else fmt
@@ -195,11 +231,13 @@ def read_run_stats(spark: SparkSession, folder: str, schema: T.StructType, *metr
 # ---------------------------------------------------------------------------
 
 
-def read_json_text(spark: SparkSession, path: str, fmt: str = "auto") -> DataFrame:
+def read_json_text(spark: SparkSession, path: str | list[str], fmt: str = "auto") -> DataFrame:
     """JSON rows as text: ``value`` plus ``row_order``, which follows the files.
 
     Each object of an array file becomes a row of its own.  ``row_order`` sorts
     by file, block and place in the block, so it needs no global numbering.
+    A document that cannot be parsed, or is larger than a variant can be, raises
+    an error; lines have no such limit and are not parsed here.
     """
     fmt = detect_format(path) if fmt == "auto" else fmt
     if fmt == "jsonl":
@@ -208,10 +246,16 @@ def read_json_text(spark: SparkSession, path: str, fmt: str = "auto") -> DataFra
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line")).alias("row_order"))
     if fmt == "json":
+        lines, documents = json_layouts(spark, path)
+        if lines:
+            of_lines = read_json_text(spark, lines, "jsonl")
+            return of_lines.unionByName(read_json_text(spark, documents, "document")) if documents else of_lines
+    if fmt in ("json", "document"):
         whole = spark.read.text(path, wholetext=True)
         document = F.try_parse_json("value")
-        rows = F.coalesce(
-            F.try_variant_get(document, "$", "array<variant>"), F.array(document))
+        unread = F.concat(F.lit("not one JSON document of at most 128 MiB: "), F.col("_metadata.file_path"))
+        rows = F.when(document.isNull() & (F.trim("value") != ""), F.raise_error(unread)).otherwise(F.coalesce(
+            F.try_variant_get(document, "$", "array<variant>"), F.array(document)))
         return whole.select(
             F.col("_metadata.file_path").alias("file"), F.posexplode(rows).alias("line", "row")
         ).select(F.to_json("row").alias("value"), F.struct(

@@ -96,9 +96,12 @@ def catalog_statistics(spark: SparkSession, table: str = "products") -> DataFram
     return rows.select(F.array(*[F.lit(n) for n in names]).cast("array<string>").alias("tables"), "items_count")
 
 
-def query(spark: SparkSession, sql: str, params: list | dict | None = None) -> DataFrame:
-    """Run SQL with bound parameters.  Errors are raised, not turned into an empty result."""
-    return spark.sql(sql, args=params) if params else spark.sql(sql)
+def query(spark: SparkSession, sql: str, params: list | dict | None = None, **frames: DataFrame) -> DataFrame:
+    """Run SQL with bound parameters.  Errors are raised, not turned into an empty result.
+
+    ``frames`` can be named in braces in the text; the session keeps no view of them.
+    """
+    return spark.sql(sql, args=params or None, **frames)
 
 
 # ---------------------------------------------------------------------------
