@@ -140,3 +140,10 @@ def test_first_value_that_can_be_read_counts(spark):
         X.routed(F.col("p"), "alcohol_content", text.extract_float), X.routed(F.col("p"), "year", text.extract_number),
         X.routed(F.col("p"), "country"), X.routed(F.col("p"), "volume")).first()
     assert tuple(row) == (40.0, 1999, "RU", None)
+
+
+def test_page_title_alone_is_no_product_heading(spark):
+    likely = {"<title>x</title><p class=a>": False, "<H1>x</H1>": True, "<b class = 'big product-title'>x</b>": True,
+              "<b class=title>x</b>": True, '<b class="a>b title">x</b>': True, '<b class="ti&#116;le">x</b>': True}
+    pages = spark.createDataFrame([(h,) for h in likely], "html string")
+    assert {r["html"]: r["l"] for r in pages.select("html", F.col("html").rlike(X._LOOKS_LIKE_PRODUCT).alias("l")).collect()} == likely

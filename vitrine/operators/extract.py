@@ -616,7 +616,8 @@ def variant_count(json_count: Column, volumes: Column, colors: Column) -> Column
 # The whole product
 # ---------------------------------------------------------------------------
 
-_LOOKS_LIKE_PRODUCT = r"(?i)<h1|title|class\s*=[^>]*&"
+# A heading, or a class that names a title; ``&`` may hide the word.
+_LOOKS_LIKE_PRODUCT = r"""(?i)<h1|class\s*=\s*(?:"[^"]*(?:title|&)|'[^']*(?:title|&)|[^\s>"']*(?:title|&))"""
 
 
 def with_nodes(pages: DataFrame, used=None, full_text=("a",)) -> DataFrame:

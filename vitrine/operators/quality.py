@@ -136,7 +136,7 @@ def json_field_stats(raw: DataFrame, order: Column, text: str = "value") -> Data
 
 
 def recommendations(validity_row: DataFrame, stats: DataFrame) -> DataFrame:
-    """What to do about the figures; one line per finding."""
+    """What to do about the figures; one line per finding.  The texts are fixed values."""
     share = F.col("invalid") / F.col("total") * 100
     invalid = validity_row.where((F.col("total") > 0) & (share > 10)).select(
         F.lit(1).alias("rank"), F.lit("").alias("field"),

@@ -1,7 +1,8 @@
 """Entity schemas and the rules that type raw text into them.
 
 Each field is declared once as ``(name, type, rule)``.  The rule says how the
-loader in :mod:`vitrine.operators.conform` turns raw text into the value.
+loader in :mod:`vitrine.operators.conform` turns raw text into the value.  Names
+and types are fixed values.
 """
 
 from __future__ import annotations
