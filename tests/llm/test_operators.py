@@ -122,6 +122,47 @@ def test_near_duplicates(spark, odd_rows):
     assert sorted(kept, key=str) == sorted([1, 3, 4, 5, 8, 9, None, 10, 11], key=str)
 
 
+def test_large_near_groups_against_brute_force(spark):
+    from vitrine.llm.order_minhash import SIMILARITY, aligned_similarity, labelled_kmers, near_duplicate_groups
+
+    rng = random.Random(11)
+    texts = []
+    for size in (150, 700):  # some without the text they all come from
+        base = words(rng, size).split()
+        for k in range(70):
+            own = list(base)
+            for place in rng.sample(range(size), rng.randint(0 if size == 150 else 1, size // 12)):
+                own[place] = words(rng, 1)
+            texts.append(" ".join(own))
+        texts.append(" ".join(base[size // 2:] + base[:size // 2]))
+    kmers = [labelled_kmers([t])[0] for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if aligned_similarity(kmers[i], kmers[j]) >= SIMILARITY:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    got = near_duplicate_groups(frame(spark, list(enumerate(texts)))).collect()
+    assert {r["doc_id"]: r["group_id"] for r in got} == dict(enumerate(group))
+    assert 10 < len(set(group)) < 130
+
+
+def test_bounds_of_near_duplicates():
+    from vitrine.llm.order_minhash import labelled_kmers, parity_bits
+
+    rng = random.Random(12)
+    base = words(rng, 300).split()
+    texts = ["", "one"]
+    for k in range(30):
+        texts.append(" ".join(w if rng.random() > k / 100 else "other" for w in base))
+    labelled, counts = labelled_kmers(texts)
+    sets = [set(x.tolist()) for x in np.split(labelled, np.cumsum(counts)[:-1])]
+    bits = parity_bits(labelled, counts).view(np.uint64)
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets):
+            assert sum(int(v).bit_count() for v in bits[a] ^ bits[b]) <= len(x ^ y)
+
+
 def test_contained_items(spark):
     from vitrine.llm.contamination import clean_documents, contained_items
 

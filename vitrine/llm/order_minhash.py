@@ -13,10 +13,12 @@ chain over the number of labelled k-mers of both texts without it twice: the
 Jaccard similarity of word shingles, held to the order.  0.8 or more links.
 
 Equal texts are one node from the start.  In a bucket every text is compared
-with one lead first, in ``LEAD_TURNS`` turns with other leads; texts of one
-bucket that are then still in different components are compared with each
-other where their rarest k-mers allow the similarity, so no candidate is left
-out and a large group of near copies does not become all its pairs.
+with one lead first, the text that shares its sketches with most others, in
+``LEAD_TURNS`` turns; texts of one bucket that are then still in different
+components are compared with each other where their rarest k-mers and the
+number of k-mers that any other component holds allow the similarity, so no
+candidate is left out and a large group of near copies does not become all its
+pairs.
 
 A text of fewer than ``WORDS`` words has one k-mer, the text.  Texts without a
 word (null and empty texts too) are in groups of their own, apart from equal
@@ -44,6 +46,7 @@ SIMILARITY = 0.8
 SAMPLED = 3
 TABLES = 14
 LEAD_TURNS = 2
+BIT_WORDS = 8
 
 _ROUND_BYTES = 4 << 20
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -129,6 +132,19 @@ def sketch(labelled: np.ndarray, kmers: np.ndarray) -> np.ndarray:
     return out
 
 
+def parity_bits(labelled: np.ndarray, kmers: np.ndarray) -> np.ndarray:
+    """``BIT_WORDS`` words per text: each k-mer flips one bit.
+
+    Bits that differ between two texts are at most the k-mers that only one of
+    them has.
+    """
+    width = 64 * BIT_WORDS
+    owner = np.repeat(np.arange(len(kmers)), kmers)
+    place = (_mixed(labelled) % np.uint64(width)).astype(np.int64)
+    odd = np.bincount(owner * width + place, minlength=len(kmers) * width) % 2
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(len(kmers), BIT_WORDS)
+
+
 def aligned_similarity(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> float:
     """Similarity of two sequences of labelled k-mers; 0.0 as soon as it must be below ``threshold``."""
     if not len(a) or not len(b):
@@ -151,7 +167,7 @@ def aligned_similarity(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARI
 
 
 def _text_key() -> Column:
-    return F.md5(plain_text().cast("binary"))
+    return F.unhex(F.md5(plain_text().cast("binary")))
 
 
 def sketched(docs: DataFrame) -> DataFrame:
@@ -169,7 +185,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "key", "n", "bands"])
 
     return docs.select("doc_id", _text_key().alias("key"), plain_text().alias("text")).mapInArrow(
-        sketches, f"doc_id {id_type}, key string, n bigint, bands array<bigint>")
+        sketches, f"doc_id {id_type}, key binary, n bigint, bands array<bigint>")
 
 
 def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -182,9 +198,9 @@ def _texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a, b`` of text keys whose similarity reaches the threshold."""
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, np.ndarray] = {}  # the k-mers of the texts of a few pairs
+        known: dict[bytes, np.ndarray] = {}  # the k-mers of the texts of a few pairs
 
-        def kmers_of(key: str, text: str) -> np.ndarray:
+        def kmers_of(key: bytes, text: str) -> np.ndarray:
             if key not in known:
                 if len(known) > 64:
                     known.clear()
@@ -199,42 +215,52 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     joined = (pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
               .join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"))
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(aligned, "a string, b string")
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(aligned, "a binary, b binary")
 
 
 def _shared(found: DataFrame) -> DataFrame:
-    """The rows ``bucket, key, ..`` whose bucket has several members."""
-    several = found.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1").select("bucket")
+    """The rows ``bucket, key, ..`` whose bucket has several ``members``."""
+    several = found.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     return found.join(several, "bucket")
 
 
 def candidate_buckets(nodes: DataFrame) -> DataFrame:
-    """``bucket, key, n``: texts of one bucket agree in two tables.
+    """``bucket, key, n, central``: texts of one bucket agree in two tables.
 
     The buckets of single tables are only met by texts that share them, so few
-    tables are left to pair per text.
+    tables are left to pair per text.  ``central`` adds up the members of all
+    single tables' buckets of the text.
     """
     single = _shared(nodes.where("n > 0").select("key", "n", F.explode("bands").alias("bucket")))
-    tables = single.groupBy("key", "n").agg(F.array_sort(F.collect_set("bucket")).alias("met")).where("size(met) > 1")
+    tables = single.groupBy("key", "n").agg(
+        F.array_sort(F.collect_set("bucket")).alias("met"), F.sum("members").alias("central")).where("size(met) > 1")
     paired = F.expr("""flatten(transform(sequence(1, size(met) - 1),
         i -> transform(slice(met, i + 1, size(met)), other -> xxhash64(met[i - 1], other))))""")
-    return _shared(tables.select("key", "n", F.explode(paired).alias("bucket")))
+    return _shared(tables.select("key", "n", "central", F.explode(paired).alias("bucket"))).drop("members")
 
 
 #: A similarity of s needs the shorter text to have at least s of the k-mers of the longer.
 _ALIKE = f"least(n, n_other) >= {SIMILARITY}D * greatest(n, n_other)"
+#: Two texts share no more k-mers than the fewest that one of them shares with any other component.
+_REACHABLE = f"{1 + SIMILARITY}D * least(common, common_other) >= {SIMILARITY}D * (n + n_other) - 1e-6D"
+#: Bits that differ are k-mers outside the intersection.
+_BITS_ALIKE = (" + ".join(f"bit_count(bits[{k}] ^ bits_other[{k}])" for k in range(BIT_WORDS))
+               + f" <= {(1 - SIMILARITY) / (1 + SIMILARITY)}D * (n + n_other) + 1e-6D")
 
 
 def _lead_pairs(members: DataFrame, nodes: DataFrame, groups: DataFrame | None, turn: int) -> DataFrame:
     """``a, b``: each text with the leads of its buckets, where they are still apart.
 
-    In the first turn a text meets the first of its leads alone.
+    The lead is the most central text of the bucket, of several the first by a
+    hash of the turn.  In the first turn a text meets the most central of its
+    leads alone.
     """
-    leads = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("key", F.lit(turn)).alias("h"), "key")).alias("lead"))
-    met = members.join(leads, "bucket").select("key", "n", F.col("lead.key").alias("lead"), F.col("lead.h").alias("h"))
+    order = F.struct(-F.col("central"), F.xxhash64("key", F.lit(turn)), "key").alias("lead")
+    leads = members.groupBy("bucket").agg(F.min(order).alias("lead"))
+    met = members.join(leads, "bucket").select("key", "n", "lead")
     if groups is None:
-        met = met.groupBy("key", "n").agg(F.min(F.struct("h", "lead")).alias("first")).select(
-            "key", "n", F.col("first.lead").alias("lead"))
+        met = met.groupBy("key", "n").agg(F.min("lead").alias("lead"))
+    met = met.withColumn("lead", F.col("lead.key"))
     met = met.where("key <> lead").select("key", "n", "lead").distinct().join(
         nodes.select(F.col("key").alias("lead"), F.col("n").alias("n_other")), "lead").where(_ALIKE)
     if groups is not None:
@@ -250,33 +276,41 @@ def _rare_pairs(apart: DataFrame) -> DataFrame:
 
     Of two texts at the threshold each holds one of the rarest fifth of the
     other's k-mers among its own rarest fifth (the prefix filter of exact set
-    joins), so no pair is lost.  Texts with more k-mers of their own than that
-    meet nothing, however many texts share the rest.
+    joins), so no pair is lost.  K-mers that no other component holds are the
+    rarest: two texts of different components share none of them, so a text
+    with many of its own meets nothing, however many texts share the rest.
+    Parity bits of the k-mers bound the similarity of the others from above
+    (the bitmap filter of exact set joins) before a pair is made.
     """
-    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def kmers_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text", _ROUND_BYTES):
             labelled, kmers = labelled_kmers(batch.column("text").to_pylist())
-            at = pa.array(np.repeat(np.arange(len(kmers)), kmers))
+            ends = np.concatenate([[0], np.cumsum(kmers)]).astype(np.int32)
+            bits = pa.array(parity_bits(labelled, kmers).reshape(-1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key").take(at), batch.column("component").take(at),
-                 pa.array(np.repeat(kmers, kmers)), pa.array(labelled.view(np.int64))],
-                names=["key", "component", "n", "kmer"])
-
-    rows = cut_lineage(apart.select("key", "component", "text").mapInArrow(
-        exploded, "key string, component string, n bigint, kmer bigint"))
-    spread = rows.groupBy("kmer").agg(F.count("*").alias("held"), F.min("component").alias("lo"),
-                                      F.max("component").alias("hi")).where("held > 1")
-    shared = rows.join(spread, "kmer")
+                [batch.column("key"), batch.column("component"), pa.array(kmers),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(labelled.view(np.int64))),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(kmers) + 1, dtype=np.int32) * BIT_WORDS), bits)],
+                names=["key", "component", "n", "kmers", "bits"])
+
+    sets = cut_lineage(apart.select("key", "component", "text").mapInArrow(
+        kmers_of, "key binary, component binary, n bigint, kmers array<bigint>, bits array<bigint>"))
+    rows = sets.select("key", "component", "n", F.explode("kmers").alias("kmer"))
+    crossing = rows.groupBy("kmer").agg(
+        F.count("*").alias("held"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    shared = rows.join(crossing.select("kmer", "held"), "kmer")
     rank = Window.partitionBy("key").orderBy("held", "kmer")
     kept = shared.withColumn("rank", F.row_number().over(rank)).withColumn(
         "common", F.count("*").over(Window.partitionBy("key")))
-    # k-mers nobody else holds come first in the order
-    prefix = kept.where(f"n - common + rank <= n - ceil({SIMILARITY}D * n) + 1 AND lo < hi")
-    left = prefix.select("kmer", F.col("key").alias("a"), F.col("component").alias("component_a"), "n")
+    prefix = cut_lineage(kept.where(f"n - common + rank <= n - ceil({SIMILARITY}D * n) + 1")
+                         .select("key", "component", "n", "kmer", "common").join(sets.select("key", "bits"), "key"))
+    left = prefix.select("kmer", F.col("key").alias("a"), F.col("component").alias("component_a"), "n", "common", "bits")
     right = prefix.select("kmer", F.col("key").alias("b"), F.col("component").alias("component_b"),
-                          F.col("n").alias("n_other"))
+                          F.col("n").alias("n_other"), F.col("common").alias("common_other"),
+                          F.col("bits").alias("bits_other"))
     return left.join(right, "kmer").where(
-        f"a < b AND component_a <> component_b AND {_ALIKE}").select("a", "b").distinct()
+        f"a < b AND component_a <> component_b AND {_ALIKE} AND {_REACHABLE} AND {_BITS_ALIKE}").select(
+        "a", "b").distinct()
 
 
 def near_duplicate_groups(docs: DataFrame) -> DataFrame:
