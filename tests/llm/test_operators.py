@@ -195,6 +195,19 @@ def test_shards_are_even_and_groups_whole(spark):
     assert sum(len(s) > 1 for s in whole.values()) <= len(whole) // 4
 
 
+@pytest.mark.parametrize("copies", (2, 4))
+def test_shards_keep_groups_whole_where_every_text_has_copies(spark, copies):
+    from vitrine.llm.sharding import shard_documents
+
+    got = shard_documents(frame(spark, [(i, f"text {i // copies}") for i in range(6400)])).collect()
+    sizes, whole = {}, {}
+    for r in got:
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + 1
+        whole.setdefault(r["doc_id"] // copies, set()).add(r["shard"])
+    assert sorted(sizes.values()) == [400] * 16
+    assert sum(len(s) > 1 for s in whole.values()) <= 16
+
+
 def test_vectors_against_brute_force(spark):
     from vitrine.llm.lattice_hash import LatticeTables, near_vectors
 

@@ -4,10 +4,14 @@ Documents are linked through groups (here: equal texts).  Balanced label
 propagation works on cells, the documents of one group in one shard, so a
 group that holds a third of all rows is a handful of rows.  Each round every
 cell asks to move to the shard that holds most of its group; a shard accepts
-the largest requests while they fit its capacity, so labels spread along links
-and no shard overflows.  Documents without a link fill what is left.  Counts
-come out at most one apart: what a shard holds above its size moves, from the
-unlinked end of its order, to shards with room.
+the largest requests while they fit its room and what leaves it in the same
+round, so labels spread along links also where nearly all rows are linked.
+The rounds end when hardly a request is granted; a group still cut that a shard
+can hold is then put whole into a shard with room.  A shard may hold a little
+more than its size meanwhile; whole cells then leave it, and fewer than one
+group a shard is cut to fill the shards exactly.  Documents without a link fill what is left.
+Counts come out at most one apart: what a shard holds above its size moves,
+from the unlinked end of its order, to shards with room.
 
 Numbers are given without putting a shard, a group or the table into one task:
 rows are dealt into hash buckets, numbered inside each, and the bucket totals
@@ -26,11 +30,13 @@ from vitrine.llm.common import plain_text
 from vitrine.sources.scratch import cut_lineage
 
 SHARDS = 16
-ROUNDS = 5
-#: Requests are accepted in this many classes of hash per size, and a class is accepted or refused as one.
-CLASSES = 64
-#: A cell larger than this part of a shard is a class of its own and may move in part.
+#: A cell larger than this part of a shard may move in part.
 LARGE_PART = 64
+#: While labels spread, a shard may hold this part more than its size, and so many rows at least.
+SLACK_PART = 50
+LEAST_SLACK = 4
+#: Rounds end when less than one in so many requested rows moved; groups still cut are then gathered (``fitted``).
+LEAST_GRANTED = 16
 BUCKET_ROWS = 50_000
 
 
@@ -55,40 +61,134 @@ def numbered(df: DataFrame, by: list[str], order: list[str], number: str, rows:
             .drop("_bucket", "_before", "_inside"))
 
 
-def propagate(cells: DataFrame, capacity: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
-    """``grp, shard, n`` after label propagation under the capacity; totals per group stay."""
+def _sum_before(cells: DataFrame, by: list[str], total: int) -> DataFrame:
+    """``before``: what the earlier cells of ``by`` hold.  Larger cells come first by powers of two, then a hash of the group."""
+    buckets = max(8, total // BUCKET_ROWS)
+    dealt = cells.withColumn("_size", -F.floor(F.log2("n"))).withColumn(
+        "_bucket", F.pmod(F.xxhash64("grp"), F.lit(buckets)).cast("int"))
+    inside = Window.partitionBy(*by, "_size", "_bucket").orderBy("grp", "shard").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*by).orderBy("_size", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(*by, "_size", "_bucket").agg(F.sum("n").alias("_held")).withColumn(
+        "_earlier", F.coalesce(F.sum("_held").over(earlier), F.lit(0))).drop("_held")
+    return (dealt.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+            .join(totals, [*by, "_size", "_bucket"])
+            .withColumn("before", F.col("_earlier") + F.col("_inside")).drop("_size", "_bucket", "_earlier", "_inside"))
+
+
+def quotas(wanted: list[list[int]], room: list[int]) -> list[list[int]]:
+    """What may move from shard to shard: as much as is wanted while no shard takes more than its room and what leaves it."""
+    flow = [list(row) for row in wanted]
+    shards = range(len(room))
+    cut = True
+    while cut:
+        cut = False
+        for to in shards:
+            over = sum(flow[k][to] for k in shards) - sum(flow[to]) - room[to]
+            while over > 0 and any(flow[k][to] for k in shards):
+                largest = max(shards, key=lambda k: flow[k][to])
+                less = min(over, max(1, flow[largest][to] // 2))
+                flow[largest][to] -= less
+                over -= less
+                cut = True
+    return flow
+
+
+def _loads(cells: DataFrame, shards: int) -> list[int]:
+    held = {r["shard"]: r["n"] for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
+    return [held.get(k, 0) for k in range(shards)]
+
+
+def _listed(values: list[int]) -> Column:
+    return F.array(*(F.lit(v).cast("long") for v in values))
+
+
+def propagate(cells: DataFrame, capacity: int, shards: int = SHARDS) -> DataFrame:
+    """``grp, shard, n`` after label propagation until hardly a request is granted; totals per group stay.
+
+    A shard may hold ``SLACK_PART`` more than the capacity meanwhile.  A whole
+    cell that moves leaves one cell less, and a part goes to a cell at least as
+    large, so the rounds come to an end.
+    """
     large = max(1, capacity // LARGE_PART)
-    for _ in range(rounds):
-        loads = cells.groupBy("shard").agg(F.sum("n").alias("load"))
-        room = cells.sparkSession.range(shards).select(F.col("id").cast("int").alias("to")).join(
-            loads, F.col("to") == F.col("shard"), "left").select(
-            "to", F.greatest(F.lit(capacity) - F.coalesce("load", F.lit(0)), F.lit(0)).alias("room"))
-        # a group's best shard: its largest cell, among shards that still have room
-        open_cells = cells.join(room.withColumnRenamed("to", "shard"), "shard")
-        best = open_cells.groupBy("grp").agg(F.max(F.when(F.col("room") > 0, F.struct(
-            F.col("n"), F.xxhash64("grp", "shard").alias("tie"), F.col("shard").alias("to")))).alias("best"))
-        asked = (open_cells.join(best, "grp").where("best IS NOT NULL AND best.to <> shard AND (room > 0 OR n < best.n)")
-                 .select("grp", "shard", "n", F.col("best.to").alias("to")))
-        asked = asked.withColumn("rank", F.concat_ws(
-            ":", F.lpad((F.lit(40) - F.floor(F.log2("n"))).cast("int").cast("string"), 2, "0"),
-            F.when(F.col("n") > large, F.hex(F.xxhash64("grp", "shard"))).otherwise(
-                F.lpad(F.pmod(F.xxhash64("grp"), F.lit(CLASSES)).cast("string"), 4, "0"))))
-        classes = asked.groupBy("to", "rank").agg(F.sum("n").alias("wanted"), F.count("*").alias("cells_in"))
-        before = Window.partitionBy("to").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-        granted = (classes.withColumn("before", F.coalesce(F.sum("wanted").over(before), F.lit(0)))
-                   .join(room, "to")
-                   .withColumn("left", F.greatest(F.col("room") - F.col("before"), F.lit(0)))
-                   .where("wanted <= left OR (cells_in = 1 AND left > 0)").select("to", "rank", "left"))
-        moves = asked.join(granted, ["to", "rank"]).select(
-            "grp", "shard", "to", F.least("n", "left").alias("moved"))
+    most = capacity + max(LEAST_SLACK, capacity // SLACK_PART)
+    total = capacity * shards
+    turn = 0
+    while True:
+        room = [most - held for held in _loads(cells, shards)]
+        placed = cells.withColumn("room", F.element_at(_listed(room), F.col("shard") + 1))
+        # a group's best shard: its largest cell, among shards that still have room; ties fall anew each round
+        best = placed.groupBy("grp").agg(F.max(F.when(F.col("room") > 0, F.struct(
+            F.col("n"), F.xxhash64("grp", "shard", F.lit(turn)).alias("tie"), F.col("shard").alias("to")))).alias("best"))
+        asked = (placed.join(best, "grp").where("best IS NOT NULL AND best.to <> shard").select(
+            "grp", "shard", "n", F.col("best.to").alias("to"), ((F.col("n") > large) & (F.col("n") <= F.col("best.n"))).alias("parted")))
+        wanted = [[0] * shards for _ in range(shards)]
+        for r in asked.groupBy("shard", "to").agg(F.sum("n").alias("n")).collect():
+            wanted[r["shard"]][r["to"]] = r["n"]
+        quota = [q for row in quotas(wanted, room) for q in row]
+        if not any(quota):
+            return cells
+        granted = _sum_before(asked, ["shard", "to"], total).withColumn(
+            "left", F.element_at(_listed(quota), F.col("shard") * shards + F.col("to") + 1) - F.col("before"))
+        moves = cut_lineage(granted.where(F.col("left") >= F.when(F.col("parted"), 1).otherwise(F.col("n"))).select(
+            "grp", "shard", "to", F.least("n", "left").alias("moved")))
+        moved = moves.agg(F.sum("moved")).first()[0] or 0
         leaving = moves.select("grp", "shard", (-F.col("moved")).alias("n"))
         coming = moves.select("grp", F.col("to").alias("shard"), F.col("moved").alias("n"))
         cells = cut_lineage(cells.select("grp", "shard", "n").unionByName(leaving).unionByName(coming)
                             .groupBy("grp", "shard").agg(F.sum("n").alias("n")).where("n > 0"))
-    return cells
+        if moved * LEAST_GRANTED < sum(map(sum, wanted)):
+            return cells
+        turn += 1
+
+
+def fitted(cells: DataFrame, shares: list[int]) -> DataFrame:
+    """``cells`` with no shard above its share and each group whole that a shard can hold, but for fewer than one a shard.
+
+    Groups that are still cut leave their shards, as do whole cells of shards
+    above their share.  All are laid along the rooms of the shards; only what
+    lies across the end of a room may have to be cut.
+    """
+    shards, total = len(shares), sum(shares)
+    cut = cut_lineage(cells.groupBy("grp").agg(F.sum("n").alias("n"), F.count("*").alias("cells"), F.min("shard").alias("shard"))
+                      .where((F.col("cells") > 1) & (F.col("n") <= min(shares))).select("grp", "shard", "n"))
+    if cut.isEmpty() and all(held <= share for held, share in zip(_loads(cells, shards), shares)):
+        return cells
+    share = F.element_at(_listed(shares), F.col("shard") + 1)
+    parts = cut_lineage(_sum_before(cells.join(cut.select("grp"), "grp", "left_anti"), ["shard"], total).withColumn(
+        "kept", F.when(F.col("before") + F.col("n") <= share, F.col("n")).when(F.col("before") == 0, share).otherwise(0)))
+    kept = parts.where("kept > 0").select("grp", "shard", F.col("kept").alias("n"))
+    rooms = [share - held for share, held in zip(shares, _loads(kept, shards))]
+    # the rooms one after the other, and the cells that left laid along them
+    ends = [sum(rooms[:k + 1]) for k in range(shards)]
+    left = _sum_before(parts.where("n > kept").select("grp", "shard", (F.col("n") - F.col("kept")).alias("n"))
+                       .unionByName(cut).withColumn("all", F.lit(0)), ["all"], total)
+    at = F.expr("size(filter(ends, e -> e <= before))")
+    laid = cut_lineage(left.withColumn("ends", _listed(ends)).withColumn("to", at).withColumn(
+        "whole", F.col("before") + F.col("n") <= F.expr("ends[to]")).drop("ends"))
+    fits = laid.where("whole").select("grp", F.col("to").alias("shard"), "n")
+    for k, held in enumerate(_loads(fits, shards)):
+        rooms[k] -= held
+    # at most one cell lies across the end of each room; they go where they fit whole, or are cut
+    rest = []
+    for r in laid.where("NOT whole").orderBy(F.desc("n"), "grp", "shard").select("grp", "n").collect():
+        n = r["n"]
+        while n:
+            holding = [k for k in range(shards) if rooms[k] >= n]
+            to = min(holding, key=lambda k: rooms[k]) if holding else max(range(shards), key=lambda k: rooms[k])
+            moved = min(n, rooms[to])
+            rest.append((r["grp"], to, moved))
+            rooms[to] -= moved
+            n -= moved
+    out = kept.unionByName(fits)
+    if rest:
+        lists = [F.array(*(F.lit(v[k]) for v in rest)) for k in range(3)]
+        out = out.unionByName(cells.sparkSession.range(len(rest)).select(*(
+            F.element_at(values, F.col("id").cast("int") + 1).cast(out.schema[name].dataType).alias(name)
+            for values, name in zip(lists, ("grp", "shard", "n")))))
+    return cut_lineage(out.groupBy("grp", "shard").agg(F.sum("n").alias("n")))
 
 
-def balanced_shards(docs: DataFrame, group: Column, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(docs: DataFrame, group: Column, shards: int = SHARDS) -> DataFrame:
     """``docs`` with ``shard`` and ``slot``; documents with an equal ``group`` are linked, null links to nothing."""
     rows = docs.withColumn("grp", group)
     sizes = rows.where("grp IS NOT NULL").groupBy("grp").agg(F.count("*").alias("members")).where("members > 1")
@@ -101,7 +201,8 @@ def balanced_shards(docs: DataFrame, group: Column, shards: int = SHARDS, rounds
     linked = work.where("grp IS NOT NULL").drop("members")
     start = linked.withColumn("shard", F.pmod(F.xxhash64(
         "doc_id", "text_crc32", F.lit("start")), F.lit(shards)).cast("int"))
-    cells = propagate(cut_lineage(start.groupBy("grp", "shard").agg(F.count("*").alias("n"))), capacity, shards, rounds)
+    cells = propagate(cut_lineage(start.groupBy("grp", "shard").agg(F.count("*").alias("n"))), capacity, shards)
+    cells = fitted(cells, [total // shards + (k < total % shards) for k in range(shards)])
     fill = Window.partitionBy("grp").orderBy("shard")
     spans = cells.withColumn("stop", F.sum("n").over(fill)).groupBy("grp").agg(
         F.array_sort(F.collect_list(F.struct("stop", "shard"))).alias("spans"))
