@@ -268,6 +268,35 @@ def test_toxicity_held_out(spark):
     assert all(got[i]["predicted"] == int(i % 4 == 0) for i in range(240))
 
 
+def test_disguised_insults_count_as_hits():
+    from vitrine.llm.toxicity import FEATURES, INSULTS, features_of
+
+    lexicon, at = frozenset(INSULTS), {name: k for k, name in enumerate(FEATURES)}
+    plain = features_of("well you idiot of mine", lexicon)
+    for word in ("1diot", "id1ot", "$tupid", "@sshole", "stuuuupid", "asssshole", "i.d.i.o.t", "1d10t!", "c10wn", "i d i o t", "i d 1 o t"):
+        got = features_of(f"well you {word} of mine", lexicon)
+        assert got[at["disguised_hits"]] == got[at["near_second_person"]] == 1, word
+        assert got[at["hits"]] > 0 and got[at["hit_rate"]] > 0
+    for name in ("hits", "near_second_person"):
+        assert plain[at[name]] == features_of("well you 1diot of mine", lexicon)[at[name]]
+    for text in ("you see 10 dogs, e.g. soooo big", "a b c d", "WOW you"):
+        got = features_of(text, lexicon)
+        assert got[at["hits"]] == got[at["disguised_hits"]] == 0
+    assert got[at["second_person_rate"]] == got[at["shouted_rate"]] == 0.5
+
+
+def test_toxicity_of_disguises_absent_from_training(spark):
+    from vitrine.llm.toxicity import score_toxicity
+
+    rng = random.Random(6)
+    rows = [(i, words(rng, 30) + (" you stupid idiot " if i % 4 == 0 else " ") + words(rng, 30)) for i in range(240)]
+    rows += [(900 + k, f"{words(rng, 30)} you {a} {b} {words(rng, 30)}")
+             for k, (a, b) in enumerate((("$tupid", "1diot"), ("stuuuupid", "i.d.i.o.t"), ("5tup1d", "i d i o t")))]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(240)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in score_toxicity(frame(spark, rows), labels).collect()}
+    assert [got[k] for k in (900, 901, 902)] == [1, 1, 1]
+
+
 def test_main_text():
     from vitrine.llm import main_text as m
 

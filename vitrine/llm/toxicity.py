@@ -1,8 +1,9 @@
 """Toxicity of texts: boosted trees over dense features, with isotonic calibration.
 
 The features are rates that hold for any length of text: words of the lexicon,
-also behind digits, symbols, stretched or spaced letters, how many of them stand
-near a second-person word, capitals, punctuation and disguised words.  The
+also behind digits, symbols, stretched, dotted or spaced letters (these count as
+hits like plain ones), how many of them stand near a second-person word,
+capitals, punctuation and disguised words.  The
 lexicon is a fixed list of insults and the words that the training rows show to
 be as telling as those.  Trees and calibration are fitted on separate parts of
 about ``SAMPLE_ROWS`` labelled rows, drawn by a hash of the id; scoring covers
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,7 @@ SAMPLE_ROWS = 16_000
 CALIBRATION_PART = 4  # one row in four
 TREES, DEPTH = 15, 3
 NEAR = 5
+SMOOTHING = 20  # words that a text counts as longer in the smoothed share of hits
 
 # Common insults, and second-person words of four languages.
 INSULTS = (
@@ -52,9 +55,12 @@ FEATURES = ("hits", "hit_rate", "disguised_hits", "near_second_person", "second_
 _ROUND_BYTES = 4 << 20
 _find_words = re.compile(r"[^\W\d_]+").findall
 _find_mixed = re.compile(r"(?<!\S)[^\W\d_]+[0-9@$!|*#._-]+[^\W_][\w@$!|*#-]*").findall
-_find_spaced = re.compile(r"\b(?:[^\W\d_] ){3,}[^\W\d_]\b").findall
-_undisguised = str.maketrans(DISGUISES)
+_find_spaced = re.compile(r"(?<!\S)(?:[\w@$!|] ){3,}[\w@$!|](?!\w)").finditer
+_UNDISGUISED = (str.maketrans(DISGUISES), str.maketrans(DISGUISES | {"1": "l", "!": "l"}))
+_EDGES = ".,;:!?\"'()[]{}<>*#_-"
+_not_letters = re.compile(r"[\W\d_]+").sub
 _squeezed = re.compile(r"(.)\1{2,}").sub
+_stretched = re.compile(r"([^\W\d_])\1\1").search
 
 
 def _byte_classes() -> np.ndarray:
@@ -71,28 +77,60 @@ def _byte_classes() -> np.ndarray:
 _CLASSES = _byte_classes()
 
 
+@lru_cache(maxsize=200_000)
+def _revealed(token: str, lexicon: frozenset[str]) -> bool:
+    """Whether a lower-case token hides a word of the lexicon behind digits, symbols, dots or stretched letters."""
+    if any(w in lexicon for w in _find_words(token)):
+        return False  # a plain hit
+    for form in {token, token.strip(_EDGES)}:
+        for table in _UNDISGUISED:
+            bare = _not_letters("", form.translate(table))
+            if bare in lexicon or _squeezed(r"\1", bare) in lexicon or _squeezed(r"\1\1", bare) in lexicon:
+                return True
+    return False
+
+
+def _spelled(run: str, lexicon: frozenset[str]) -> bool:
+    """Whether a run of single letters spells a word of the lexicon, with single-letter words around it or not."""
+    longest = max(map(len, lexicon), default=0)
+    return any(bare[i:j] in lexicon for table in _UNDISGUISED for bare in (run.replace(" ", "").translate(table),)
+               for i in range(len(bare)) for j in range(i + 3, min(len(bare), i + longest) + 1))
+
+
+def _hidden_places(low: str, spaced: list[re.Match], lexicon: frozenset[str]) -> list[int]:
+    """Among the words of a lower-case text, the places of those that are disguised."""
+    stretched = _stretched(low) is not None
+    tokens = {t for t in set(low.split()) if (stretched or not t.isalpha()) and _revealed(t, lexicon)}
+    spelled = [m.start() for m in spaced if _spelled(m.group(), lexicon)]
+    places = [len(_find_words(low[:at])) for at in spelled]
+    if tokens:
+        at = 0
+        for token in low.split():
+            if token in tokens:
+                places.append(at)
+            at += len(_find_words(token))
+    return places
+
+
 def features_of(text: str, lexicon: frozenset[str]) -> list[float]:
     """The features of one text."""
     if not text:
         return [0.0] * len(FEATURES)
     raw = text.encode()
     classes = np.bincount(_CLASSES[np.frombuffer(raw, dtype=np.uint8)], minlength=6)
-    words = _find_words(text.lower())
+    low = text.lower()
+    words = _find_words(low)
     n = max(1, len(words))
-    hits = [i for i, w in enumerate(words) if w in lexicon]
-    near = second = 0
-    if hits:
-        people = [i for i, w in enumerate(words) if w in _PEOPLE]
-        second = len(people)
-        near = sum(any(abs(i - p) <= NEAR for p in people) for i in hits) if people else 0
     mixed = _find_mixed(text) if classes[5] or classes[4] else []
-    plain = [w.lower().translate(_undisguised) for w in mixed]
-    bare = [re.sub(r"[^\w]|_", "", w) for w in plain] + [s.replace(" ", "").lower() for s in _find_spaced(text)]
-    hidden = sum(w in lexicon or _squeezed(r"\1", w) in lexicon for w in bare)
-    shouted = sum(w.isupper() and len(w) > 2 for w in _find_words(text)) if classes[1] > n else 0
+    spaced = list(_find_spaced(low))
+    hidden = _hidden_places(low, spaced, lexicon)
+    hits = [i for i, w in enumerate(words) if w in lexicon] + hidden
+    people = [i for i, w in enumerate(words) if w in _PEOPLE]
+    near = sum(any(abs(i - p) <= NEAR for p in people) for i in hits) if people else 0
+    shouted = sum(w.isupper() and len(w) > 2 for w in _find_words(text))
     size = max(1, len(raw))
-    return [min(len(hits), 20), len(hits) / n, hidden, near, second / n, classes[1] / size, shouted / n,
-            classes[2] / size, classes[3] / size, classes[4] / size, classes[5] / size, len(bare) / n]
+    return [len(hits) / (n + SMOOTHING), len(hits) / n, len(hidden), near, len(people) / n, classes[1] / size, shouted / n,
+            classes[2] / size, classes[3] / size, classes[4] / size, classes[5] / size, (len(mixed) + len(spaced)) / n]
 
 
 _PEOPLE = frozenset(SECOND_PERSON)
