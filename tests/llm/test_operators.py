@@ -176,6 +176,20 @@ def test_contained_items(spark):
     assert {r["doc_id"] for r in clean_documents(frame(spark, docs), table).collect()} == {10, 11, 12, 13}
 
 
+def test_contained_items_with_null_and_repeated_ids(spark):
+    from vitrine.llm.contamination import clean_documents, contained_items
+
+    rng = random.Random(10)
+    items = [(None, words(rng, 20)), (1, words(rng, 30)), (1, words(rng, 60))]
+    docs = [(None, f"{words(rng, 50)} {items[1][1]}"), (None, words(rng, 80)), (5, f"{items[0][1]} {words(rng, 50)}"),
+            (6, items[2][1]), (7, words(rng, 90))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = contained_items(frame(spark, docs), table).select("doc_id", "item_id", "item_shingles", "containment").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 1, 26, 1.0), (5, None, 16, 1.0), (6, 1, 56, 1.0)], key=str)
+    kept = clean_documents(frame(spark, docs), table).select("doc_id", "text").collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([docs[1], docs[4]], key=str)
+
+
 def test_shards_are_even_and_groups_whole(spark):
     from vitrine.llm.sharding import shard_documents
 
