@@ -282,21 +282,96 @@ def test_toxicity_held_out(spark):
     assert all(got[i]["predicted"] == int(i % 4 == 0) for i in range(240))
 
 
+def features(text, lexicon):
+    import pyarrow as pa
+    from vitrine.llm.toxicity import FEATURES, Reader
+
+    return dict(zip(FEATURES, Reader(lexicon).features(pa.array([text]))[0].tolist()))
+
+
 def test_disguised_insults_count_as_hits():
-    from vitrine.llm.toxicity import FEATURES, INSULTS, features_of
-
-    lexicon, at = frozenset(INSULTS), {name: k for k, name in enumerate(FEATURES)}
-    plain = features_of("well you idiot of mine", lexicon)
-    for word in ("1diot", "id1ot", "$tupid", "@sshole", "stuuuupid", "asssshole", "i.d.i.o.t", "1d10t!", "c10wn", "i d i o t", "i d 1 o t"):
-        got = features_of(f"well you {word} of mine", lexicon)
-        assert got[at["disguised_hits"]] == got[at["near_second_person"]] == 1, word
-        assert got[at["hits"]] > 0 and got[at["hit_rate"]] > 0
+    from vitrine.llm.toxicity import INSULTS
+
+    lexicon = frozenset(INSULTS)
+    plain = features("well you idiot of mine", lexicon)
+    for word in ("1diot", "id1ot", "$tupid", "@sshole", "stuuuupid", "asssshole", "i.d.i.o.t", "1d10t!", "c10wn", "i d i o t",
+                 "i d 1 o t", "i d i o t,"):
+        got = features(f"well you {word} of mine", lexicon)
+        assert got["disguised_hits"] == got["near_second_person"] == 1, word
+        assert got["hits"] > 0 and got["hit_rate"] > 0
     for name in ("hits", "near_second_person"):
-        assert plain[at[name]] == features_of("well you 1diot of mine", lexicon)[at[name]]
+        assert plain[name] == features("well you 1diot of mine", lexicon)[name]
     for text in ("you see 10 dogs, e.g. soooo big", "a b c d", "WOW you"):
-        got = features_of(text, lexicon)
-        assert got[at["hits"]] == got[at["disguised_hits"]] == 0
-    assert got[at["second_person_rate"]] == got[at["shouted_rate"]] == 0.5
+        got = features(text, lexicon)
+        assert got["hits"] == got["disguised_hits"] == 0
+    assert got["second_person_rate"] == got["shouted_rate"] == 0.5
+
+
+def features_by_hand(text, lexicon):
+    """The features that count plain words, token by token."""
+    import re
+    from vitrine.llm.toxicity import NEAR, SECOND_PERSON, SMOOTHING
+
+    tokens = [re.findall(r"[^\W\d_]+", t.lower()) for t in text.split()]
+    words = [w for t in tokens for w in t]
+    hits = [i for i, t in enumerate(tokens) if any(w in lexicon for w in t)]
+    people = [i for i, t in enumerate(tokens) if any(w in SECOND_PERSON for w in t)]
+    count = sum(w in lexicon for w in words)
+    size = max(1, len(text.encode()))
+    return {"hits": count / (max(1, len(words)) + SMOOTHING), "hit_rate": count / max(1, len(words)),
+            "near_second_person": sum(any(abs(i - j) <= NEAR for j in people) for i in hits),
+            "second_person_rate": sum(w in SECOND_PERSON for w in words) / max(1, len(words)),
+            "capital_rate": sum("A" <= c <= "Z" for c in text) / size,
+            "exclamation_rate": text.count("!") / size, "question_rate": text.count("?") / size,
+            "digit_rate": sum("0" <= c <= "9" for c in text) / size}
+
+
+def test_features_of_many_texts_are_those_of_each():
+    import pyarrow as pa
+    from vitrine.llm.toxicity import FEATURES, INSULTS, Reader
+
+    rng = random.Random(12)
+    some = ["you", "idiot", "moron,", "YOU!", "tu", "word", "word?", "l'idiota", "idiot-moron", "7", "--", "Été", "日本語", "a1b2"]
+    texts = [" ".join(rng.choices(some, k=rng.randrange(0, 40))) for _ in range(200)] + ["", " ", "you", "idiot"]
+    lexicon = frozenset(INSULTS)
+    rows = Reader(lexicon).features(pa.array(texts))
+    for text, row in zip(texts, rows.tolist()):
+        got = dict(zip(FEATURES, row))
+        for name, value in features_by_hand(text, lexicon).items():
+            assert got[name] == pytest.approx(value), (name, text)
+        assert row == pytest.approx(Reader(lexicon).features(pa.array([text]))[0].tolist())
+
+
+@pytest.mark.parametrize("unit", ["i d i o t, ", "you idiot ", "i d i o t ", "1d10t ", "x", "you a1 "])
+def test_features_take_time_in_proportion_to_the_text(unit):
+    import time
+    import pyarrow as pa
+    from vitrine.llm.toxicity import INSULTS, Reader
+
+    reader, text = Reader(frozenset(INSULTS)), unit * (500_000 // len(unit))
+    began = time.process_time()
+    reader.features(pa.array([text]))
+    assert time.process_time() - began < 5
+
+
+def test_toxic_words_of_a_small_second_language(spark):
+    from vitrine.llm.toxicity import score_toxicity
+
+    rng = random.Random(16)
+    rows, toxic = [], set()
+    for i in range(1200):
+        bad = i % 10 == 0
+        if i % 6 == 0:  # the small language: none of its insults is a fixed one
+            word = rng.choice(("zorgul", "vrakten", "ploomar")) if bad else "gentle"
+            rows.append((i, " ".join("".join(rng.choices("klmnopq", k=5)) for _ in range(30)) + f" {word}."))
+        else:
+            rows.append((i, words(rng, 30) + (" you idiot." if bad else " you all.")))
+        if bad:
+            toxic.add(i)
+    labels = spark.createDataFrame([(i, int(i in toxic)) for i, _ in rows], "doc_id long, toxic int")
+    got = score_toxicity(frame(spark, rows), labels).where("held_out").collect()
+    assert all((r["predicted"] == 1) == (r["doc_id"] in toxic) for r in got)
+    assert any(r["doc_id"] in toxic and r["doc_id"] % 6 == 0 for r in got)
 
 
 def test_toxicity_of_disguises_absent_from_training(spark):
