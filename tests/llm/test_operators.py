@@ -30,17 +30,41 @@ def odd_rows():
     near[40] = "changed"
     return [(1, None), (2, ""), (3, "  \n \n"), (4, long), (5, base), (6, base), (7, " ".join(near)), (7, " ".join(near)),
             (8, "a shared line here\nown line of eight"), (9, "A Shared Line Here \nown line of nine"),
-            (None, "no id but a shared line here\na shared line here"), (10, "two  spaces\t and end "), (11, "word")]
+            (None, "no id but a shared line here\na shared line here"), (10, "two  spaces\t and end "), (11, "word"),
+            (12, "a <|endoftext|> b")]
+
+
+def fresh_tokenizer():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_ids_are_those_of_the_library():
+    import pyarrow as pa
+    from vitrine.llm.tokens import WordEncoder, vocabulary_path
+
+    rng = random.Random(3)
+    parts = [" ", "  ", "\n", "\r\n", "\t", "\u00a0", "\u3000", "\x0b", "\x1c", "\x85", "a", "Word", "é", "×", "ß", "1", "'s", "'ll",
+             ".", "...", "!?", "_", "«", "<|endoftext|>", "日本", "😀", "e\u0301", "\x00", "a.b,c", "-- "]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(0, 14))) for _ in range(4000)] + ["", " ", "a <|endoftext|> b", "x" * 5000]
+    encoder, plain = WordEncoder(vocabulary_path()), fresh_tokenizer()
+    for at in range(0, len(texts), 700):  # rounds, some with all words known, some after words were forgotten
+        some = texts[at:at + 700]
+        ids, edges = encoder.encode(pa.array(some, pa.string()), 9)
+        got = [ids[a:b].tolist() for a, b in zip(edges, edges[1:])]
+        assert got == [[*e.ids, 9] for e in plain.encode_batch(some, add_special_tokens=False)]
+        encoder.shrink(len(encoder.known) // 3)
 
 
 def test_pieces_cover_every_id_once(spark, odd_rows):
     from vitrine.llm.packing import pack_documents
-    from vitrine.llm.tokens import encoder, vocabulary_path
 
     got = pack_documents(frame(spark, odd_rows)).collect()
     rows, covered = {}, {}
     for doc_id, text in odd_rows:
-        ids = encoder(vocabulary_path()).tokenizer.encode(text or "", add_special_tokens=False).ids
+        ids = fresh_tokenizer().encode(text or "", add_special_tokens=False).ids
         rows.setdefault(doc_id, []).append(np.array([*ids, 1], dtype="<u4"))
     at = {}
     for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
@@ -70,11 +94,11 @@ def test_cuts_are_the_cheapest():
 
 
 def test_token_files_round_trip(spark, odd_rows, folder):
-    from vitrine.llm.tokens import encoder, read_metadata, read_tokens, token_digests, vocabulary_path, write_tokens
+    from vitrine.llm.tokens import read_metadata, read_tokens, token_digests, write_tokens
 
     path = f"{folder}/tokens"
     write_tokens(frame(spark, odd_rows), path)
-    tokenizer = encoder(vocabulary_path()).tokenizer
+    tokenizer = fresh_tokenizer()
     held = {}
     for r in read_tokens(spark, path).collect():
         held.setdefault(r["doc_id"], []).append(r["ids"])

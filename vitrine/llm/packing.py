@@ -134,11 +134,11 @@ def pack_documents(docs: DataFrame, limit: int = LIMIT, end_id: int = END_ID,
                    vocabulary: str | None = None) -> DataFrame:
     """One row per piece of a document in a sequence, with the digest of its ids."""
     vocabulary = vocabulary or vocabulary_path()
-    end = np.array([end_id], dtype="<u4").tobytes()
     id_type = docs.schema["doc_id"].dataType.simpleString()
     names = [c.split()[0] for c in PIECES.split(", ")]
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = encoder(vocabulary)
         packer = Packer(TaskContext.get().partitionId(), sentence_ends(vocabulary), limit)
         arrow_id = None
 
@@ -149,12 +149,13 @@ def pack_documents(docs: DataFrame, limit: int = LIMIT, end_id: int = END_ID,
 
         for batch in byte_slices(batches, "text", ROUND_BYTES):
             arrow_id = batch.schema.field("doc_id").type
-            raws = encoder(vocabulary).encode(batch.column("text").to_pylist())
-            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), raws):
-                packer.add(doc_id, np.frombuffer(raw + end, dtype="<u4"))
+            ids, edges = words.encode(batch.column("text"), end_id)
+            for doc_id, begin, stop in zip(batch.column("doc_id").to_pylist(), edges, edges[1:]):
+                packer.add(doc_id, ids[begin:stop])
                 if packer.size >= STRETCH and (pieces := packer.pack(last=False)):
                     yield rows(pieces)
         if pieces := packer.pack(last=True):
             yield rows(pieces)
+        words.shrink()
 
     return in_order(docs).mapInArrow(packed, PIECES.format(id=id_type))
