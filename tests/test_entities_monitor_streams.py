@@ -1,28 +1,48 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from vitrine.operators import entities, monitor
 from vitrine.streaming import streams
 
 
-def test_price_changes_with_one_hot_product(spark):
+@pytest.mark.parametrize("parts", [1, 7, 40])
+def test_price_changes_do_not_depend_on_ranges(spark, parts):
+    """One product, and one instant of it, spread over many ranges; some ranges stay empty."""
     rng = random.Random(1)
     rows = []
     for n in range(900):
-        product = "hot" if n % 3 == 0 else f"p{rng.randrange(40)}"
-        rows.append((n, product, rng.choice(["r1", "r2", None]), rng.choice([1.0, 2.0, 3.0, None]),
-                     datetime(2024, 1, 1) + timedelta(days=rng.randrange(400))))
+        product = rng.choice(["hot", "hot", None, f"p{rng.randrange(40)}"])
+        at = datetime(2024, 1, 1) + timedelta(days=rng.choice((0, 0, rng.randrange(400))))
+        rows.append((n, product, rng.choice(["r1", "r2", None]) if product != "hot" else "r1",
+                     rng.choice([1.0, 2.0, 3.0, None]), at if n % 50 else None))
     df = spark.createDataFrame(rows, "id int, product_id string, region string, price double, timestamp timestamp")
-    read = lambda d: {r["id"]: (r["previous_price"], r["is_drop"]) for r in d.collect()}
     last, want = {}, {}
-    for n, product, region, price, at in sorted(rows, key=lambda r: (r[4], r[0])):
+    for n, product, region, price, at in sorted(rows, key=lambda r: (r[4] or datetime(1900, 1, 1), r[0])):
         before = last.get((product, region))
-        want[n] = (before, before is not None and price is not None and price < before)
+        want[n] = (before, price - before if None not in (before, price) else None,
+                   before is not None and price is not None and price < before)
         last[(product, region)] = price
-    assert read(entities.price_changes(df, tie="id")) == want
-    assert read(entities.price_changes(df, tie="id", hot_rows=50, pieces=7)) == want
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    usual = [spark.conf.get(n) for n in names]
+    try:
+        for name, value in zip(names, (str(parts), "false")):
+            spark.conf.set(name, value)
+        got = entities.price_changes(df, tie="id").collect()
+    finally:
+        for name, value in zip(names, usual):
+            spark.conf.set(name, value)
+    assert {r["id"]: (r["previous_price"], r["price_change"], r["is_drop"]) for r in got} == want and len(got) == 900
+
+
+def test_price_changes_of_no_rows_and_of_equal_rows(spark):
+    kind = "product_id string, region string, price double, timestamp timestamp"
+    assert entities.price_changes(spark.createDataFrame([], kind)).count() == 0
+    same = spark.createDataFrame([("a", "r", 2.0, datetime(2024, 1, 1))] * 50, kind)
+    got = sorted((r["previous_price"] is None, r["previous_price"], r["is_drop"]) for r in entities.price_changes(same).collect())
+    assert got == [(False, 2.0, False)] * 49 + [(True, None, False)]
 
 
 def test_latest_reviews_categories_stores(spark):

@@ -160,3 +160,41 @@ def test_what_does_not_fit_is_told(spark, folder):
         out.write('[{"a": 1},\n {"a"')
     with pytest.raises(Exception, match="not one JSON document"):
         files.read_json_text(spark, f"{folder}/cut.json").collect()
+
+
+LINES = [json.dumps({"a": i}) for i in range(1, 1000)]
+
+
+@pytest.mark.parametrize("first,fits", [('{"a":0},', True), ('[{"a":0}]', True), ("[", False), ('{"a":', False)])
+def test_a_broken_first_line_loses_no_other(spark, folder, first, fits):
+    with open(f"{folder}/a.json", "w") as out:
+        out.write("\n".join([first, *LINES]))
+    kept = files.read_products(spark, f"{folder}/a.json", schema="a int", corrupt="bad").collect()
+    assert sorted(r["a"] for r in kept if r["bad"] is None and r["a"]) == list(range(1, 1000))
+    assert len(kept) == 1000 and (fits or [r["bad"] for r in kept if r["bad"]] == [first])
+    assert files.read_json_text(spark, f"{folder}/a.json").count() == 1000
+    if not fits:
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|not JSON lines"):
+            files.read_products(spark, f"{folder}/a.json", schema="a int").collect()
+
+
+@pytest.mark.parametrize("text", [
+    '[{"a":1}]\n[{"a":2}]', '{\n"a":1\n}\n{\n"a":2\n}', '[\n{"a":1}\n] rest', '[\n{"a":1},', '{"a":1}] 1', '{"a":1}{"a":2}',
+    '{"a":1}\n{"a":2}{"a":3}'])
+def test_a_file_that_is_not_one_document_is_not_read_in_part(spark, folder, text):
+    with open(f"{folder}/a.json", "w") as out:
+        out.write(text)
+    with pytest.raises(ValueError, match="a.json"):
+        files.read_products(spark, f"{folder}/a.json", schema="a int")
+    with pytest.raises(Exception, match="not one JSON document"):
+        files.read_json_text(spark, f"{folder}/a.json").collect()
+    whole = files.read_products(spark, f"{folder}/a.json", schema="a int", corrupt="bad").collect()
+    assert [(r["a"], r["bad"]) for r in whole] == [(None, text)]
+
+
+@pytest.mark.parametrize("text,rows", [
+    ('[\n{"a":1}\n,\n{"a":2}\n]', 2), ('{"a":\n1}', 1), ('{"a":1,"b":\n{"c":"} {"}}', 1), ('{"a":1,"b":"} {"}\n{"a":2}', 2), ("[]", 0)])
+def test_documents_are_told_from_lines(spark, folder, text, rows):
+    with open(f"{folder}/a.json", "w") as out:
+        out.write(text)
+    assert files.read_products(spark, f"{folder}/a.json", schema="a int").count() == rows

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from vitrine.sources.scratch import cut_lineage
 
@@ -13,35 +13,36 @@ def price_changes(
     at: str = "timestamp",
     price: str = "price",
     tie: str | None = None,
-    hot_rows: int = 1_000_000,
-    pieces: int = 200,
 ) -> DataFrame:
     """Previous price, change and drop flag of each price of a product.
 
-    A key with up to ``hot_rows`` prices is one window.  A hotter key must not
-    end in one task: its history is cut at quantiles of its own time into
-    ``pieces`` windows.  The first row of a piece takes the last price of the
-    piece before it, from a table of one row per hot key and piece.
+    The history is put in one order of key, time and tie, dealt out by ranges of
+    it.  A range may end anywhere, also between rows of one instant, so a product
+    with a third of all prices is as many ranges as its size asks for.  Within a
+    range the previous price is that of the row before; the first row of a range
+    takes it from the table of range ends, which has one row per range.
+
+    Null keys are a product like others, null times come first, and rows alike in
+    key, time and tie follow in any order.
     """
-    order = [F.col(at)] + ([F.col(tie)] if tie else [])
-    instant = F.unix_micros(F.col(at).cast("timestamp_ltz"))
-    # Written first: it is used twice, it is small (one row per hot key), and with
-    # its real size known Spark need not shuffle the history to join it.
-    cuts = cut_lineage(_cuts(history, keys, instant, hot_rows, pieces))
-    marked = _joined_on(history, cuts, keys)
-    piece = F.when(F.col("_cuts").isNull(), 0).otherwise(
-        F.size(F.filter("_cuts", lambda cut: cut < instant)))
-    marked = marked.select(*history.columns, F.col("_cuts").isNotNull().alias("_hot"), piece.alias("_piece"))
-
-    ends = marked.where("_hot").groupBy(*keys, "_piece").agg(
-        F.max_by(F.struct(F.col(price).alias("p")), F.struct(*order)).alias("_last"))
-    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_piece"))
-    ends = ends.select(*keys, "_piece", before["p"].alias("_carried"))
-
-    within = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    rows = marked.select("*", F.lag(price).over(within).alias("_before"), F.row_number().over(within).alias("_nth"))
-    previous = F.when(F.col("_nth") > 1, F.col("_before")).otherwise(F.col("_carried"))
-    return _joined_on(rows, ends, (*keys, "_piece")).select(
+    order = [*keys, at, *([tie] if tie else []), "_row"]
+    rows = cut_lineage(
+        history.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*order)
+        .sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+        .withColumn("_place", F.monotonically_increasing_id()).drop("_row"))
+    ends = rows.groupBy("_part").agg(
+        F.min("_place").alias("_first"), F.max_by(F.struct(*keys, F.col(price).alias("_price")), "_place").alias("_last"))
+    # one row per range, so one task holds them all
+    before = F.lag("_last").over(Window.orderBy("_part"))
+    ends = ends.select("_part", "_first", before.alias("_before"))
+
+    within = Window.partitionBy("_part", *keys).orderBy("_place")
+    scanned = rows.select("*", F.lag(price).over(within).alias("_lag"), F.row_number().over(within).alias("_nth"))
+    goes_on = F.col("_place") == F.col("_first")
+    for key in keys:
+        goes_on &= F.col(key).eqNullSafe(F.col(f"_before.{key}"))
+    previous = F.when(F.col("_nth") > 1, F.col("_lag")).when(goes_on, F.col("_before._price"))
+    return scanned.join(ends, "_part").select(
         *history.columns,
         previous.alias("previous_price"),
         (F.col(price) - previous).alias("price_change"),
@@ -49,21 +50,6 @@ def price_changes(
     )
 
 
-def _cuts(history: DataFrame, keys: tuple[str, ...], instant: Column, hot_rows: int, pieces: int) -> DataFrame:
-    """Quantiles of time of each key with more than ``hot_rows`` rows."""
-    hot = history.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows).drop("_rows")
-    of_hot = _joined_on(history.select(*keys, instant.alias("_instant")), hot, keys, "inner")
-    steps = [i / pieces for i in range(1, pieces)]
-    return of_hot.groupBy(*keys).agg(F.percentile_approx("_instant", steps, 1000).alias("_cuts"))
-
-
-def _joined_on(left: DataFrame, right: DataFrame, keys: tuple[str, ...], how: str = "left") -> DataFrame:
-    """Join in which a null key equals a null key; the keys of the left side stay."""
-    renamed = right.select(*[F.col(c).alias(f"_key_{c}" if c in keys else c) for c in right.columns])
-    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-    return left.join(renamed, same, how).drop(*[f"_key_{k}" for k in keys])
-
-
 def latest_snapshot(
     snapshots: DataFrame, key: str = "product_id", at: str = "scraped_at", tie: str | None = None
 ) -> DataFrame:

@@ -111,10 +111,15 @@ def price_changes(spark, sf):
     return entities.price_changes(price_snapshots(spark, sf), at="at", tie="snapshot_id").drop("at")
 
 
-@register("price_changes_hot_keys", "E1", _CHANGES)
+@register("price_changes_hot_keys", "E1", """
+    WITH w AS (SELECT o_orderkey AS snapshot_id, o_orderpriority AS region, o_totalprice AS price,
+        lag(o_totalprice) OVER (PARTITION BY o_orderpriority ORDER BY year(o_orderdate), o_orderkey) AS previous FROM orders)
+    SELECT snapshot_id, region, price, previous AS previous_price, price - previous AS price_change,
+      coalesce(price < previous, false) AS is_drop FROM w""")
 def price_changes_hot_keys(spark, sf):
-    """The path of hot keys, taken by every key with more than two prices."""
-    return entities.price_changes(price_snapshots(spark, sf), at="at", tie="snapshot_id", hot_rows=2, pieces=5).drop("at")
+    """Five products hold all prices, and all prices of a year are of one instant."""
+    snapshots = price_snapshots(spark, sf).withColumn("at", F.trunc("at", "year")).drop("product_id")
+    return entities.price_changes(snapshots, keys=("region",), at="at", tie="snapshot_id").drop("at")
 
 
 @register("latest_snapshot", "E2", """

@@ -83,6 +83,19 @@ def json_bad_rows(spark, sf):
                         F.col("_corrupt").isNotNull().alias("is_bad"))
 
 
+@register("json_broken_first_line", "S1 S5", """
+    SELECT CAST(p_partkey AS VARCHAR) AS product_id, false AS is_bad FROM part WHERE p_partkey <> 1
+    UNION ALL SELECT NULL, true FROM part WHERE p_partkey = 1""")
+def json_broken_first_line(spark, sf):
+    """A file of lines whose first line opens an array: that line is told, all others are read."""
+    path = new_path(spark, "products.json")
+    table(spark, sf, "part").repartitionByRange("p_partkey").sortWithinPartitions("p_partkey").selectExpr(
+        """concat(CASE WHEN p_partkey = 1 THEN '[' ELSE '' END, '{"product_id":"', p_partkey,
+        CASE WHEN p_partkey = 1 THEN '"' ELSE '"}' END) AS value""").write.text(path)
+    found = files.read_products(spark, path, schema="product_id string", corrupt="_corrupt")
+    return found.select("product_id", F.col("_corrupt").isNotNull().alias("is_bad"))
+
+
 @register("xml_round_trip", "S4 S5 S10", _BACK)
 def xml_round_trip(spark, sf):
     return _shown(_there_and_back(spark, sf, "xml"))

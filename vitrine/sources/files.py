@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
 FORMATS = {"json": "json", "jsonl": "jsonl", "ndjson": "jsonl", "csv": "csv", "xml": "xml"}
@@ -23,7 +25,7 @@ def read_products(
     """Rows of a product file or folder.
 
     ``json`` is an array (or one object) per file, or one object per line as
-    this library writes it: the first line of each file tells (see
+    this library writes it: the lines of each file tell (see
     :func:`json_layouts`).  ``jsonl`` is one object per line, ``csv`` has a header and gives text only, ``xml`` has one ``product``
     element per row.  Give a schema where it is known: without one Spark reads
     the input twice.  CSV cells may hold line breaks, which makes a file one
@@ -31,7 +33,9 @@ def read_products(
     An array file is one task too, since it cannot be split.
 
     JSON and XML that do not fit the schema raise an error; with ``corrupt``
-    such a row stays and its text lands in the column of that name.
+    such a row stays and its text lands in the column of that name.  A file that
+    is neither lines nor one whole document is not read in part: it raises, or
+    is one row with its whole text in that column.
     """
     fmt = detect_format(path) if fmt == "auto" else fmt
     if isinstance(schema, str):
@@ -44,13 +48,25 @@ def read_products(
         return (spark.read if form is None else spark.read.schema(form)).options(**bad)
 
     if fmt == "json":
-        lines, documents = json_layouts(spark, path)
-        if not documents:
+        lines, documents, broken = json_layouts(spark, path)
+        if broken and corrupt is None:
+            raise ValueError(f"not JSON lines and not one JSON document: {', '.join(sorted(broken))}")
+        if not documents and not broken:
             return reader().json(path)
-        if not lines:
+        if not lines and not broken:
             return reader().option("multiLine", True).json(path)
-        return reader().option("basePath", path).json(lines).unionByName(
-            reader().option("basePath", path).option("multiLine", True).json(documents), allowMissingColumns=True)
+        # folders named like column=value below a folder of several files stay columns
+        several = len(lines) + len(documents) + len(broken) > 1 and not any(c in path for c in "*?[{")
+        base = {"basePath": path} if several else {}
+        parts = [reader().options(**base).json(lines)] if lines else []
+        if documents:
+            parts.append(reader().options(**base).option("multiLine", True).json(documents))
+        if broken:
+            text = spark.read.options(**base).text(broken, wholetext=True).withColumnRenamed("value", corrupt)
+            rest = [] if schema is None else [
+                F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in text.columns]
+            parts.append(text.select("*", *rest))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if fmt == "jsonl":
         return reader().json(path)
     if fmt == "csv":
@@ -62,20 +78,47 @@ def read_products(
     raise ValueError(f"Unsupported format: {fmt}")
 
 
-def json_layouts(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
-    """Files below a path that hold one object per line, and files that hold one document.
+def one_json_value(text: Column) -> Column:
+    """Whether a text is exactly one JSON value, with nothing before or after it.
+
+    JSON readers stop behind the first value and do not tell what they leave.
+    Inside an array the value has to be followed by the elements put behind it:
+    a text that ends its own array early has the same number of elements
+    however many follow, and one with two values is no array or has one too many.
+    """
+    held = [F.json_array_length(F.concat(F.lit("["), text, F.lit(behind))) for behind in (",1]", ",1,1]")]
+    return F.coalesce((held[0] == 2) & (held[1] == 3), F.lit(False))
+
+
+def json_layouts(spark: SparkSession, path: str) -> tuple[list[str], list[str], list[str]]:
+    """Files below a path that hold one object per line, one document, or neither.
+
+    A file is of lines when at least half of its lines that are not blank are
+    whole objects.  Objects of a document have commas between them, so a document
+    of several lines never has as many.  Lines that are broken then are for the reader to tell.  A file that
+    holds no such lines is a document if all of it is one JSON value; such a
+    file has at most 2 GiB.
 
-    A file is of lines when its first line that is not blank is a whole object.
-    One pass over the text, combined on the map side; the driver holds the file
-    names, which it lists for any read.  ``fmt="jsonl"`` does without.
+    One pass over the text, combined on the map side, and one more over the
+    files that are not of lines; the driver holds the file names, which it lists
+    for any read.  ``fmt="jsonl"`` does without.
     """
-    line, first_block = F.trim("value"), F.col("_metadata.file_block_start") == 0
-    whole = (line.startswith("{") & line.endswith("}")).cast("bigint")
-    place = F.monotonically_increasing_id() * 2 + whole
-    firsts = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.when(first_block & (line != ""), place).alias("place")
-    ).groupBy("file").agg((F.min("place") % 2 == 1).alias("is_lines")).where("is_lines IS NOT NULL").collect()
-    return [r["file"] for r in firsts if r["is_lines"]], [r["file"] for r in firsts if not r["is_lines"]]
+    line = F.trim("value")
+    count = lambda mark: F.length(line) - F.length(F.replace(line, F.lit(mark), F.lit("")))
+    whole = line.startswith("{") & line.endswith("}") & (count("{") == count("}"))
+    # two values side by side, which only the text of a string may look like
+    double = line.rlike(r"[}\]]\s*[\[{]")
+    files = spark.read.text(path).where(line != "").groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(whole).alias("whole"),
+        F.count_if(whole & F.when(double, ~one_json_value(line)).otherwise(False)).alias("double")).collect()
+    lines = [r["file"] for r in files if 2 * r["whole"] >= r["lines"] and not r["double"]]
+    doubled = [r["file"] for r in files if 2 * r["whole"] >= r["lines"] and r["double"]]
+    others = [r["file"] for r in files if 2 * r["whole"] < r["lines"]]
+    if not others:
+        return lines, [], doubled
+    read = spark.read.text(others, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), one_json_value(F.col("value")).alias("is_one")).collect()
+    return (lines, [r["file"] for r in read if r["is_one"]], doubled + [r["file"] for r in read if not r["is_one"]])
 
 
 def write_products(df: DataFrame, path: str, fmt: str = "auto", mode: str = "errorifexists") -> None:
@@ -236,8 +279,8 @@ def read_json_text(spark: SparkSession, path: str | list[str], fmt: str = "auto"
 
     Each object of an array file becomes a row of its own.  ``row_order`` sorts
     by file, block and place in the block, so it needs no global numbering.
-    A document that cannot be parsed, or is larger than a variant can be, raises
-    an error; lines have no such limit and are not parsed here.
+    A file that is neither lines nor one whole document, or a document larger
+    than a variant can be, raises an error; lines are not parsed here.
     """
     fmt = detect_format(path) if fmt == "auto" else fmt
     if fmt == "jsonl":
@@ -246,15 +289,17 @@ def read_json_text(spark: SparkSession, path: str | list[str], fmt: str = "auto"
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("line")).alias("row_order"))
     if fmt == "json":
-        lines, documents = json_layouts(spark, path)
+        lines, documents, broken = json_layouts(spark, path)
         if lines:
             of_lines = read_json_text(spark, lines, "jsonl")
-            return of_lines.unionByName(read_json_text(spark, documents, "document")) if documents else of_lines
+            others = documents + broken
+            return of_lines.unionByName(read_json_text(spark, others, "document")) if others else of_lines
     if fmt in ("json", "document"):
         whole = spark.read.text(path, wholetext=True)
         document = F.try_parse_json("value")
         unread = F.concat(F.lit("not one JSON document of at most 128 MiB: "), F.col("_metadata.file_path"))
-        rows = F.when(document.isNull() & (F.trim("value") != ""), F.raise_error(unread)).otherwise(F.coalesce(
+        lost = (document.isNull() | ~one_json_value(F.col("value"))) & (F.trim("value") != "")
+        rows = F.when(lost, F.raise_error(unread)).otherwise(F.coalesce(
             F.try_variant_get(document, "$", "array<variant>"), F.array(document)))
         return whole.select(
             F.col("_metadata.file_path").alias("file"), F.posexplode(rows).alias("line", "row")
