@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from vitrine.operators import quality
@@ -59,3 +60,22 @@ def test_completeness_and_advice(spark):
 def test_one_pass(spark):
     plan = quality.completeness(raw(spark).withColumn("name", F.lit("x")))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
+
+
+@pytest.mark.parametrize("allowed", ["true", "false"])
+def test_repeated_keys_and_unreadable_rows_in_any_session(spark, allowed):
+    whole = '"product_id":"1","name":"a","product_url":"https://e.com/1","scraped_at":5'
+    rows = [(0, f'{{"name":"",{whole}}}'), (1, "not json"), (2, f'{{{whole},"name":null,"price":"x","price":-1}}'), (3, None)]
+    df = spark.createDataFrame(rows, "i int, value string")
+    name = "spark.sql.variant.allowDuplicateKeys"
+    usual = spark.conf.get(name)
+    try:
+        spark.conf.set(name, allowed)
+        got = {r["i"]: (r["errors"], r["warnings"]) for r in quality.check_output(df, F.col("i")).collect()}
+        stats = {r["field"]: (r["filled"], r["total"]) for r in quality.json_field_stats(df, F.col("i")).collect()}
+    finally:
+        spark.conf.set(name, usual)
+    assert got[0] == ([], [])
+    assert got[1][0] == ["Product 1: Not valid JSON"] and got[3][0] == ["Product 3: Not valid JSON"]
+    assert got[2][0] == ["Product 2: Missing required field 'name'"] and "is negative" in got[2][1][0]
+    assert stats["name"] == (1, 2) and stats["price"] == (1, 2)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vitrine.functions.jsontext import parsed_json
 from vitrine.functions import text
 from vitrine.functions.nodes import (
     PageNodes, Sel, all_attrs, all_texts, first_attr, first_inner_text, first_list, first_of, first_outer_or_text,
@@ -383,7 +384,7 @@ def images_from_json(p: Page) -> str:
 
     scripts = where(all_texts(select(p.nodes, JSON_SCRIPT)), _image_key)
     found = each(scripts, lambda s: let(
-        f"map_entries({_object(f'try_parse_json({s})')})",
+        f"map_entries({_object(parsed_json(s))})",
         lambda pairs: f"coalesce({of_document(pairs)}, {_NO_TEXTS})"))
     return f"flatten({found})"
 
@@ -510,7 +511,7 @@ def jsonld_characteristics(p: Page) -> str:
         return f"concat(coalesce({props}, {_NO_PAIRS}), coalesce({tops}, {_NO_PAIRS}))"
 
     scripts = all_texts(select(p.nodes, LD_SCRIPT))
-    found = each(scripts, lambda s: let(f"try_parse_json({s})", lambda doc: of_document(doc, s)))
+    found = each(scripts, lambda s: let(parsed_json(s), lambda doc: of_document(doc, s)))
     return _last_wins(f"flatten({found})")
 
 
@@ -589,7 +590,7 @@ def volume_variants(p: Page) -> Column:
 def color_variants(p: Page) -> Column:
     options, buttons = _texts_of(p, COLOR_OPTIONS), _texts_of(p, COLOR_BUTTONS)
     meant = where(options, lambda v: f"(contains(lower({p.url}), 'color') OR contains(lower({v}), 'цвет'))")
-    source = f"try_parse_json({first_attr(select(p.nodes, COLOR_LIST), 'data-available-colors')})"
+    source = let(first_attr(select(p.nodes, COLOR_LIST), "data-available-colors"), parsed_json)
     entries = where(_array(source), lambda v: f"schema_of_variant({v}) = 'STRING'")
     listed = F.filter(F.expr(each(entries, lambda v: f"CAST({v} AS STRING)")), is_variant)
     return distinct_variants(F.concat(
@@ -600,7 +601,7 @@ def json_variants(p: Page) -> Column:
     """Texts of the entries of ``variants``, else ``options``, else a top-level list."""
     scripts = where(all_texts(select(p.nodes, JSON_SCRIPT)), lambda s: f"contains({s}, 'variants')")
     source = first_of(first_attr(select(p.nodes, VARIANT_LIST), "data-variants"), f"try_element_at({scripts}, 1)")
-    return F.expr(let(f"try_parse_json({source})", lambda doc: each(
+    return F.expr(let(let(source, parsed_json), lambda doc: each(
         f"coalesce({_array(doc, '$.variants')}, {_array(doc, '$.options')}, {_array(doc)})", _as_text)))
 
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from vitrine.functions.jsontext import parsed_json
 from vitrine.functions.text import is_url, settled
 from vitrine.functions.nodes import let
 from vitrine.functions.truth import is_filled, variant_filled_sql
@@ -116,20 +117,26 @@ def json_field_stats(raw: DataFrame, order: Column, text: str = "value") -> Data
     """The same statistics for JSON text, over every key that any row has.
 
     ``order`` tells which row comes first; the type is that of the first value
-    that is not null.
+    that is not null.  Each text is parsed once, in one aggregate: a row that is
+    JSON also counts under no field, which gives the total.  Rows that are no
+    JSON are left out.
     """
-    parsed = raw.select(order.alias("at"), F.try_parse_json(F.col(text)).alias("doc"))
-    total = parsed.agg(F.count("doc")).scalar()
-    entries = parsed.select(
-        "at", F.explode_outer(F.expr("try_variant_get(doc, '$', 'map<string,variant>')")).alias("field", "v")
-    ).where("field IS NOT NULL")
-    stats = entries.select("at", "field", F.expr(json_kind("v")).alias("kind"),
-                           F.expr(variant_filled_sql("v")).alias("is_filled")).groupBy("field").agg(
+    parsed = raw.select(order.alias("at"), F.expr(parsed_json(f"`{text}`")).alias("doc"))
+    row = "named_struct('key', CAST(NULL AS STRING), 'value', CAST(NULL AS VARIANT))"
+    fields = "coalesce(map_entries(try_variant_get(doc, '$', 'map<string,variant>')), array())"
+    entries = parsed.select("at", F.explode_outer(F.expr(
+        f"CASE WHEN doc IS NOT NULL THEN concat(array({row}), {fields}) END")).alias("entry")).where("entry IS NOT NULL")
+    stats = entries.select("at", F.col("entry.key").alias("field"), F.col("entry.value").alias("v")).select(
+        "at", "field", F.expr(json_kind("v")).alias("kind"), F.expr(variant_filled_sql("v")).alias("is_filled")
+    ).groupBy("field").agg(
+        F.count(F.lit(1)).alias("rows"),
         F.count_if("is_filled").alias("filled"),
         F.count_if(F.col("kind") != "null").alias("non_null"),
         F.min_by("kind", F.when(F.col("kind") != "null", F.col("at"))).alias("first_kind"),
     )
-    return stats.withColumn("total", total).select(
+    # one row for each field
+    total = F.max(F.when(F.col("field").isNull(), F.col("rows"))).over(Window.partitionBy())
+    return stats.withColumn("total", total).where("field IS NOT NULL").select(
         "field", "filled", "non_null", "total", (F.col("filled") / F.col("total") * 100).alias("percentage"),
         F.coalesce("first_kind", F.lit("null")).alias("type"),
     ).orderBy("field")
@@ -174,9 +181,10 @@ def _python_name(kind: Column) -> Column:
 def check_output(raw: DataFrame, index: Column, text: str = "value") -> DataFrame:
     """``errors`` and ``warnings`` of each JSON row; ``index`` numbers the rows.
 
-    All findings of a row are built in one projection, with no shuffle.
+    All findings of a row are built in one projection, with no shuffle.  A text
+    that is no JSON has that one error; of a repeated key the last value counts.
     """
-    picked = raw.select("*", index.alias("row_index"), F.try_parse_json(F.col(text)).alias("doc"))
+    picked = raw.select("*", index.alias("row_index"), F.expr(parsed_json(f"`{text}`")).alias("doc"))
     fields = [*dict.fromkeys([*REQUIRED, *NUMBER_FIELDS, *URL_FIELDS, *LIST_FIELDS])]
     picked = picked.select("*", *[F.expr(_value(f)).alias(f"v_{f}") for f in fields])
     picked = picked.select("*", *[F.expr(f"schema_of_variant(v_{f})").alias(f"s_{f}") for f in fields])
@@ -206,9 +214,10 @@ def check_output(raw: DataFrame, index: Column, text: str = "value") -> DataFram
     for f in LIST_FIELDS:
         warnings.append(F.when(F.col(f"f_{f}") & (F.col(f"k_{f}") != "array"), F.concat(
             at, F.lit(f"'{f}' should be a list"))))
+    unread = F.array(F.concat(at, F.lit("Not valid JSON")))
     return picked.select(
         *raw.columns, "row_index",
-        settled(F.array_compact(F.array(*errors))).alias("errors"),
+        settled(F.when(F.col("doc").isNull(), unread).otherwise(F.array_compact(F.array(*errors)))).alias("errors"),
         F.array_compact(F.array(*warnings)).alias("warnings"),
     )
 

@@ -120,6 +120,17 @@ def output_warnings(spark, sf):
     return _checked(spark, sf).select("k", F.array_join("warnings", "|").alias("warnings"))
 
 
+@register("repeated_keys_and_no_json", "Q6 Q12", """
+    SELECT p_partkey AS k, CASE WHEN p_partkey % 5 = 0 THEN 'Product ' || p_partkey || ': Not valid JSON'
+      WHEN p_partkey % 2 = 0 THEN 'Product ' || p_partkey || ': Missing required field ''name''' ELSE '' END AS errors FROM part""")
+def repeated_keys_and_no_json(spark, sf):
+    """Rows that repeat a key keep its last value; rows that are no JSON say so.  Holds in any session."""
+    rows = table(spark, sf, "part").selectExpr("p_partkey AS k", """CASE WHEN p_partkey % 5 = 0 THEN concat('none ', p_name)
+        ELSE concat('{"name":"', if(p_partkey % 2 = 0, 'first', ''), '","product_id":"', p_partkey, '","scraped_at":1,',
+          '"product_url":"https://shop.example/', p_partkey, '","name":"', if(p_partkey % 2 = 0, '', 'last'), '"}') END AS value""")
+    return quality.check_output(rows, F.col("k")).select("k", F.array_join("errors", "|").alias("errors"))
+
+
 @register("output_totals", "Q12", """
     WITH p AS (SELECT p_partkey AS k, p_size, (p_partkey % 7 = 0)::INT + (p_partkey % 11 = 0)::INT + (p_partkey % 3 = 2)::INT AS e,
         (p_partkey % 5 < 2)::INT + (p_partkey % 8 = 0)::INT + (p_partkey % 13 = 0)::INT + (p_partkey % 3 = 1)::INT

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
+from vitrine.functions.jsontext import parsed_json
+
 FORMATS = {"json": "json", "jsonl": "jsonl", "ndjson": "jsonl", "csv": "csv", "xml": "xml"}
 ROOT_TAG, ROW_TAG, ITEM_TAG = "products", "product", "item"
 
@@ -296,7 +298,7 @@ def read_json_text(spark: SparkSession, path: str | list[str], fmt: str = "auto"
             return of_lines.unionByName(read_json_text(spark, others, "document")) if others else of_lines
     if fmt in ("json", "document"):
         whole = spark.read.text(path, wholetext=True)
-        document = F.try_parse_json("value")
+        document = F.expr(parsed_json("value"))
         unread = F.concat(F.lit("not one JSON document of at most 128 MiB: "), F.col("_metadata.file_path"))
         lost = (document.isNull() | ~one_json_value(F.col("value"))) & (F.trim("value") != "")
         rows = F.when(lost, F.raise_error(unread)).otherwise(F.coalesce(
