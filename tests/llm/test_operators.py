@@ -427,6 +427,44 @@ def test_main_text():
     assert m.main_text(None, model) == m.main_text("", model) == ""
 
 
+@pytest.mark.parametrize("odd", ["<svg width=1 />", "<select><option>", "<object>", "<math/>", '<img alt="x>', "<svg><path d=1></svg>"])
+def test_an_article_is_not_lost_behind_odd_markup(odd):
+    from vitrine.llm.page_blocks import read_blocks
+
+    page = (f"<body><article><h1>Title here</h1>{odd}<p title='a > b'>First paragraph of the article.</p>"
+            "<p title='c > d'>Second paragraph of it.</p></article></body>")
+    texts = [b.text for b in read_blocks(page, lambda state, tag, names: None)]
+    assert texts[0] == "Title here" and texts[-1] == "Second paragraph of it."
+    assert "First paragraph of the article." in texts and not any("b'" in t or "d'" in t for t in texts)
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 16_000 + "<li>x</li>" * 16_000, "<li>x" * 30_000, "<select>" * 30_000, "<a '>'" * 30_000 + '"', "<table><tr><td>" * 8_000])
+def test_pages_are_read_in_time_in_proportion_to_their_length(page):
+    import time
+    from vitrine.llm.page_blocks import read_blocks
+
+    began = time.process_time()
+    read_blocks(page, lambda state, tag, names: None)
+    assert time.process_time() - began < 3
+
+
+def test_viterbi_finds_the_best_of_all_labellings():
+    import itertools
+    from vitrine.llm import main_text as m
+
+    model = m.train()
+
+    def score(blocks, labels):
+        own = sum(model.weights.get(f, 0.0) for b, y in zip(blocks, labels) if y for f in m.block_features(b))
+        return own + model.start[labels[0]] + sum(model.change[x][y] for x, y in zip(labels, labels[1:]))
+
+    for seed in range(900_000_000, 900_000_040):
+        blocks = m.labelled_page(seed)[0][:9]
+        best = max(score(blocks, labels) for labels in itertools.product((0, 1), repeat=len(blocks)))
+        assert score(blocks, [int(x) for x in model.decode(blocks)]) == pytest.approx(best)
+
+
 def test_empty_tables(spark):
     from vitrine.llm.contamination import contained_items
     from vitrine.llm.language import identify_languages

@@ -28,6 +28,10 @@ _tag = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
 _attributes = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 _named = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _tokens = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+").findall
+#: Without an end tag these hide the rest of the page, as in browsers; the others hide nothing.
+HIDE_REST = frozenset("script style textarea title".split())
+#: Characters read in vain for attributes whose quotes never close, in sizes of the page; beyond that tags end at the next sign.
+READ_IN_VAIN = 8
 _ends = {name: re.compile(rf"</{name}\s*>", re.I) for name in UNSEEN}
 
 
@@ -51,11 +55,12 @@ def read_blocks(page: str | None, enter: Callable[[Any, str, tuple], Any]) -> li
         return []
     blocks: list[Block] = []
     stack: list[tuple[str, Any]] = []
-    opened: dict[str, int] = {}
+    opened: dict[str, list[int]] = {}  # of each tag, the places of its open elements in the stack
+    unended: set[str] = set()
     pieces: list[str] = []
     linked_pieces: list[str] = []
     in_link = 0
-    at, size, careful = 0, len(page), True
+    at, size, in_vain = 0, len(page), 0
     tag, state = "none", None
 
     def flush() -> None:
@@ -71,7 +76,7 @@ def read_blocks(page: str | None, enter: Callable[[Any, str, tuple], Any]) -> li
         nonlocal tag, state
         while stack:
             top = stack.pop()[0]
-            opened[top] -= 1
+            opened[top].pop()
             if top == name:
                 break
         tag, state = stack[-1] if stack else ("none", None)
@@ -98,11 +103,11 @@ def read_blocks(page: str | None, enter: Callable[[Any, str, tuple], Any]) -> li
                 pieces.append("<")
                 at = next_tag + 1
             continue
-        rest = _attributes.match(page, found.end()) if careful else None
+        rest = _attributes.match(page, found.end()) if in_vain <= READ_IN_VAIN * size else None
         if rest:
             at = rest.end()
         else:  # a quote that is never closed
-            careful = False
+            in_vain += size - found.end()
             end = page.find(">", found.end())
             at = size if end < 0 else end + 1
         ending, name = found[1], found[2].lower()
@@ -114,8 +119,15 @@ def read_blocks(page: str | None, enter: Callable[[Any, str, tuple], Any]) -> li
                 pieces.append(" ")
             continue
         if not ending and name in _ends:
-            end = _ends[name].search(page, at)
-            at = end.end() if end else size
+            if name in ("svg", "math") and page.endswith("/>", found.end(), at):
+                continue  # closed at once
+            end = None if name in unended else _ends[name].search(page, at)
+            if end:
+                at = end.end()
+            elif name in HIDE_REST:
+                at = size
+            else:
+                unended.add(name)
             if name not in ("script", "style", "noscript", "template"):
                 pieces.append(" ")
             continue
@@ -130,19 +142,16 @@ def read_blocks(page: str | None, enter: Callable[[Any, str, tuple], Any]) -> li
         if name in CLOSES_P and opened.get("p"):
             close("p")
         if name in CLOSED_BY:
-            for other, _ in reversed(stack):
-                if other in CLOSED_BY[name]:
-                    close(other)
-                    break
-                if other in SCOPES:
-                    break
+            _, other = max(((opened[t][-1], t) for t in (*CLOSED_BY[name], *SCOPES) if opened.get(t)), default=(0, ""))
+            if other in CLOSED_BY[name]:
+                close(other)
         names: tuple = ()
         if at - found.end() > 4:
             named = _named.findall(page, found.end(), at)
             if named:
                 names = tuple(t.lower() for _, value in named for t in _tokens(value))
         tag, state = name, enter(state, name, names)
+        opened.setdefault(name, []).append(len(stack))
         stack.append((tag, state))
-        opened[name] = opened.get(name, 0) + 1
     flush()
     return blocks
