@@ -114,3 +114,26 @@ def test_append_stream_is_idempotent(spark, folder):
     streams.append_stream(stream, f"{folder}/out", f"{folder}/check-again").awaitTermination()
     assert spark.read.parquet(f"{folder}/out").count() == 10
     assert spark.read.parquet(f"{folder}/out").select(F.count_distinct("batch_id")).collect()[0][0] >= 2
+
+
+def test_appended_batches_are_replayed_and_compacted(spark, folder):
+    path = f"{folder}/table"
+
+    def batch(names):
+        return spark.createDataFrame([(n,) for n in names], "name string").repartition(3)
+
+    for batch_id, names in ((0, "abc"), (1, "defg"), (1, "defg"), (2, ""), (3, "h")):
+        streams.append_batch(batch(names), batch_id, path)
+    before = sorted(tuple(r) for r in streams.read_appended(spark, path).select("id", "name", "batch_id").collect())
+    assert sorted(r[1] for r in before) == list("abcdefgh") and len({r[0] for r in before}) == 8
+    assert [r[2] for r in before] == [0] * 3 + [1] * 4 + [3]  # ids grow with the batches
+    day = streams.read_appended(spark, path).selectExpr("string(to_date(created_at))").first()[0]
+    for _ in range(2):
+        streams.compact_appended(spark, path, day)
+        assert sorted(tuple(r) for r in streams.read_appended(spark, path).select("id", "name", "batch_id").collect()) == before
+    assert spark.read.parquet(path).select("piece").distinct().collect() == [("c3",)]
+    streams.append_batch(batch("ij"), 4, path)
+    after = streams.read_appended(spark, path).select("id", "name").collect()
+    assert len(after) == len({r["id"] for r in after}) == 10
+    streams.compact_appended(spark, path, day)
+    assert streams.read_appended(spark, path).count() == 10

@@ -164,7 +164,18 @@ def stream_append(spark, sf):
     target, checkpoint = new_path(spark, "table"), new_path(spark, "checkpoint")
     streams.append_stream(
         streams.clean_stream(_product_stream(spark, sf), scraped_at=1), target, checkpoint).awaitTermination()
-    return spark.read.parquet(target).select("product_id", "name", "category", "price")
+    return streams.read_appended(spark, target).select("product_id", "name", "category", "price")
+
+
+@register("stream_append_replayed", "M10", "SELECT count(*) AS n_rows, count(*) AS n_ids, 3 AS n_batches FROM part")
+def stream_append_replayed(spark, sf):
+    """Three batches, the second applied twice as after a lost driver: every row once, all ids distinct."""
+    target = new_path(spark, "table")
+    rows = table(spark, sf, "part").selectExpr("CAST(p_partkey AS STRING) AS product_id", "p_name AS name", "p_partkey % 3 AS b")
+    for batch_id in (0, 1, 1, 2):
+        streams.append_batch(rows.where(F.col("b") == batch_id).drop("b"), batch_id, target)
+    return streams.read_appended(spark, target).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.countDistinct("batch_id").cast("int").alias("n_batches"))
 
 
 @register("stream_endpoint_states", "M11", _STATES)

@@ -34,6 +34,19 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename within one store; the target must not be there."""
+    made = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system = made(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.rename(made(path), made(target)):
+        raise OSError(f"could not rename {path} to {target}")
+
+
 def write_step(df: DataFrame) -> str:
     """Write as a table in the shared folder; returns its path."""
     path = new_path(df.sparkSession, "step")
