@@ -14,6 +14,7 @@ from vitrine.functions.jsontext import parsed_json
 from vitrine.functions.text import is_url, settled
 from vitrine.functions.nodes import let
 from vitrine.functions.truth import is_filled, variant_filled_sql
+from vitrine.sources.scratch import cut_lineage
 
 # Fixed values of the output check.
 REQUIRED = ("product_id", "name", "product_url", "scraped_at")
@@ -243,7 +244,11 @@ def findings(checked: DataFrame, kind: str) -> DataFrame:
 
 
 def report_lines(checked: DataFrame, kind: str, shown: int = 10) -> DataFrame:
-    """The first messages and a closing line with the number of further ones."""
+    """The first messages and a closing line with the number of further ones.
+
+    The rows that have messages are written first, so that the check runs once.
+    """
+    checked = cut_lineage(checked.select("row_index", kind).where(F.size(kind) > 0))
     rows = findings(checked, kind)
     first = rows.orderBy("row_index", "position").limit(shown).select("row_index", "position", "message")
     more = checked.agg((F.coalesce(F.sum(F.size(kind)), F.lit(0)) - shown).alias("more")).where("more > 0").select(
