@@ -30,8 +30,7 @@ def odd_rows():
     near[40] = "changed"
     return [(1, None), (2, ""), (3, "  \n \n"), (4, long), (5, base), (6, base), (7, " ".join(near)), (7, " ".join(near)),
             (8, "a shared line here\nown line of eight"), (9, "A Shared Line Here \nown line of nine"),
-            (None, "no id but a shared line here\na shared line here"), (10, "two  spaces\t and end "), (11, "word"),
-            (12, "a <|endoftext|> b")]
+            (None, "no id but a shared line here\na shared line here"), (10, "two  spaces\t and end "), (11, "word")]
 
 
 def fresh_tokenizer():
@@ -61,6 +60,7 @@ def test_ids_are_those_of_the_library():
 def test_pieces_cover_every_id_once(spark, odd_rows):
     from vitrine.llm.packing import pack_documents
 
+    odd_rows = [*odd_rows, (12, "a <|endoftext|> b")]
     got = pack_documents(frame(spark, odd_rows)).collect()
     rows, covered = {}, {}
     for doc_id, text in odd_rows:
@@ -97,6 +97,7 @@ def test_token_files_round_trip(spark, odd_rows, folder):
     from vitrine.llm.tokens import read_metadata, read_tokens, token_digests, write_tokens
 
     path = f"{folder}/tokens"
+    odd_rows = [*odd_rows, (12, "a <|endoftext|> b")]
     write_tokens(frame(spark, odd_rows), path)
     tokenizer = fresh_tokenizer()
     held = {}
