@@ -1,11 +1,12 @@
+import random
 import time
 
 from pyspark.sql import functions as F
 
 from vitrine.functions import nodes
 from vitrine.functions.nodes import (
-    Sel, all_attrs, all_texts, exists, first_attr, first_inner_text, first_list, first_of, first_outer_or_text, first_text,
-    outer_html, parse_nodes, select,
+    PageNodes, Sel, all_attrs, all_texts, box, exists, first_attr, first_inner_text, first_list, first_of, first_outer_or_text,
+    first_text, outer_html, parse_nodes, select,
 )
 
 
@@ -95,6 +96,46 @@ def test_pruned_nodes_give_the_same_answers(spark):
         assert value(full, ids) == value(pruned, ids) != []
 
 
+def test_index_gives_what_a_walk_over_the_nodes_gives(spark):
+    rng = random.Random(4)
+    tags = ["<div class='box'>", "<div class=' main box-wide'>", "<a href='/x' rel=next>", "<a class=box>go", "<span data-k='one two'>",
+            "<li>", "<i>", "<b class=\"a&#98;\">t", "<img class='box' src=s>", "</div>", "</a>", "</span>", "</li>", "</i>", " x "]
+    pages = ["".join(rng.choices(tags, k=rng.randrange(60))) for _ in range(60)] + ["", None]
+    sels = [
+        Sel("a"), Sel(cls="box"), Sel(cls="ab"), Sel(cls_has=("ox-", "main")), Sel(attr="data-k", has="two"), Sel("a", attr="rel", eq="next"),
+        Sel("li", is_first=True), Sel("li", is_last=True), Sel("a", contains="go"), Sel("i", within=Sel("div")), Sel("img", attr="src"),
+        Sel("i", within=(Sel(cls="box"), Sel("span", attr="data-k"))), Sel("i", within=Sel("a", within=Sel("div", cls="box"))),
+        Sel("b", within=Sel("li", is_first=True)), Sel("h1"),
+    ]
+    some = [(sels[0], sels[1]), (sels[9], sels[5], sels[6]), (sels[-1],)]
+    df = spark.createDataFrame([(h,) for h in pages], "html string").coalesce(2)
+    numbers = lambda found: F.expr(f"transform({found}, n -> n.idx)")
+    for used, index in ((sels, None), (None, sels)):
+        nodes = df.select(parse_nodes(F.col("html"), used, index=index).alias("nodes"))
+        columns = [(numbers(select("nodes", s)), numbers(select(PageNodes("nodes"), s))) for s in [*sels, *some]]
+        columns += [(F.coalesce(F.expr(exists("nodes", s)), F.lit(False)), F.expr(exists(PageNodes("nodes"), s))) for s in [*sels, *some]]
+        inner = "filter(nodes, n -> n.idx >= {0}.idx AND n.idx <= {0}.last)"
+        columns += [(F.expr(f"transform(nodes, o -> transform({inner.format('o')}, n -> n.idx))"),
+                     F.expr(f"transform(nodes, o -> transform({box('nodes', 'o')}, n -> n.idx))"))]
+        got = nodes.select(*[c.alias(f"c{i}_{k}") for i, pair in enumerate(columns) for k, c in enumerate(pair)]).collect()
+        assert len(got) == len(pages)
+        for page, r in zip(pages, got):
+            assert not [(i, r[f"c{i}_0"], r[f"c{i}_1"], page) for i in range(len(columns)) if r[f"c{i}_0"] != r[f"c{i}_1"]]
+        for i in range(len(sels) - 1):
+            assert any(r[f"c{i}_1"] for r in got), sels[i]
+
+
+def test_index_of_deep_pages_takes_linear_time():
+    n = 20_000
+    index = nodes._Index([Sel("i", within=Sel("div", within=Sel(cls="top"))), Sel("p")])
+    read = nodes._StartTags(nodes._Keep.of([Sel("i"), Sel("div"), Sel("p"), Sel(cls="top")]), index)
+    began = time.perf_counter()
+    page = nodes._read_page("<div class=top>" + "<div><u>" * n + "<i>x</i>" * n, frozenset(), read)
+    found = index.hits(page)
+    assert time.perf_counter() - began < 3
+    assert sorted(len(v) for v in found.values()) == [0, n]
+
+
 def test_many_pages_in_one_batch(spark):
     pages = spark.range(3000).selectExpr("id", "repeat(concat('<p class=\"c\">', id, '</p>'), 40) AS html").repartition(2)
     nodes = pages.select("id", parse_nodes(F.col("html")).alias("nodes"))

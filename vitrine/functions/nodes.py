@@ -8,7 +8,10 @@ takes (hundreds of selectors then cost one driver call per column, not one per
 operator): no shuffle and no second parse.
 
 Give :func:`parse_nodes` the selectors a query uses and only the nodes these can
-match leave Python; a page of thousands of nodes shrinks to a few dozen.
+match leave Python; a page of thousands of nodes shrinks to a few dozen.  Its
+first node then also carries an index: for each of these selectors the places
+of the nodes that satisfy it, ancestors included.  Under a :class:`PageNodes`
+column, selecting is one look at that index instead of a walk over the nodes.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from __future__ import annotations
 import gc
 import re
 import sys
+import zlib
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Callable, Iterable
@@ -46,6 +50,9 @@ NODE = T.StructType([
     T.StructField("alltext", T.StringType()),
     T.StructField("start", T.IntegerType()),
     T.StructField("stop", T.IntegerType()),
+    T.StructField("place", T.IntegerType()),
+    T.StructField("span", T.IntegerType()),
+    T.StructField("hits", T.MapType(T.IntegerType(), T.ArrayType(T.IntegerType()))),
 ])
 NODES = T.ArrayType(NODE)
 
@@ -98,10 +105,17 @@ class Sel:
             tests.append(f"contains({n}.alltext, {quoted(self.contains)})")
         return " AND ".join(tests) or "true"
 
+    def above(self) -> tuple["Sel", ...]:
+        """The ancestors it names, any of which is enough."""
+        return self.within if isinstance(self.within, tuple) else (self.within,) if self.within else ()
+
     def parts(self) -> list["Sel"]:
         """This selector and the ancestors it names."""
-        above = self.within if isinstance(self.within, tuple) else (self.within,) if self.within else ()
-        return [self] + [p for a in above for p in a.parts()]
+        return [self] + [p for a in self.above() for p in a.parts()]
+
+    def key(self) -> int:
+        """Number of the selector in the index of a page."""
+        return zlib.crc32(repr(self).encode()) & 0x7FFFFFFF
 
 
 Selectors = Sel | Iterable[Sel]
@@ -150,34 +164,37 @@ def inside(n: str, ancestor: str) -> str:
     return f"({n}.idx > {ancestor}.idx AND {n}.idx <= {ancestor}.last)"
 
 
-def under(n: str, scope: str) -> str:
-    """Inside the scope or the scope itself."""
-    return f"({n}.idx >= {scope}.idx AND {n}.idx <= {scope}.last)"
+#: Key of the empty list that stands in the index of every page.
+_NOWHERE = -1
 
 
 class PageNodes(str):
-    """Name of a column that holds whole pages.
+    """Name of a column that holds whole pages, read with the selectors that are asked of it.
 
-    The first node of a page lists the tags, classes and attribute names that
-    occur in it.  One look at that list spares a selector the walk over all
-    nodes of a page on which it cannot match.
+    A selector that was not given to :func:`parse_nodes` finds nothing.
     """
 
-    def may_hold(self, sels: Iterable[Sel]) -> str:
-        marks = {
-            f" {s.cls} " if s.cls else s.cls_has[0] if s.cls_has else f"[{s.attr}]" if s.attr else f"<{s.tag}>"
-            for s in sels
-        }
-        return " OR ".join(f"contains({self}[0].alltext, {quoted(m)})" for m in sorted(marks))
+    def hits(self, sel: Sel) -> str:
+        return f"try_element_at({self}[0].hits, {sel.key()})"
+
+    def places(self, sels: list[Sel]) -> str:
+        """Places of the nodes that match any of the selectors, in document order."""
+        none = f"{self}[0].hits[{_NOWHERE}]"
+        found = [f"coalesce({self.hits(s)}, {none})" for s in sels]
+        return found[0] if len(found) == 1 else f"array_sort(array_distinct(concat({', '.join(found)})))"
 
 
 def select(nodes: str, sels: Selectors) -> str:
     """Nodes that match any of the selectors, in document order."""
     sels = [sels] if isinstance(sels, Sel) else list(sels)
-    found = _select(nodes, sels)
     if isinstance(nodes, PageNodes):
-        return f"CASE WHEN {nodes.may_hold(sels)} THEN {found} ELSE slice({nodes}, 1, 0) END"
-    return found
+        return each(nodes.places(sels), lambda i: f"{nodes}[{i}]")
+    return _select(nodes, sels)
+
+
+def box(nodes: str, n: str) -> str:
+    """The node ``n`` of the page and all nodes inside it."""
+    return f"slice({nodes}, {n}.place + 1, {n}.span)"
 
 
 def _select(nodes: str, sels: list[Sel]) -> str:
@@ -196,8 +213,11 @@ def _select(nodes: str, sels: list[Sel]) -> str:
 
 def exists(nodes: str, sels: Selectors) -> str:
     sels = [sels] if isinstance(sels, Sel) else list(sels)
-    found = any_of(nodes, lambda n: matches(n, sels))
-    return f"(({nodes.may_hold(sels)}) AND {found})" if isinstance(nodes, PageNodes) else found
+    if isinstance(nodes, PageNodes):
+        return "(" + " OR ".join(f"{nodes.hits(s)} IS NOT NULL" for s in sels) + ")"
+    if any(s.within for s in sels):
+        return f"(size({_select(nodes, sels)}) > 0)"
+    return any_of(nodes, lambda n: matches(n, sels))
 
 
 def first_text(found: str) -> str:
@@ -299,30 +319,60 @@ def _attrs(source: str) -> dict[str, str]:
 
 class _Node:
     __slots__ = ("idx", "parent", "last", "tag", "attrs", "cls", "first", "kid", "pieces", "is_last",
-                 "start", "stop", "inner", "deep", "kept")
+                 "start", "stop", "inner", "deep", "near", "met", "span", "base")
 
-    def __init__(self, idx, parent, tag, attrs, start, kept):
+    def __init__(self, idx, parent, tag, attrs, cls, start, near, base):
         self.idx = self.last = idx
-        self.parent, self.tag, self.attrs, self.kept = parent, tag, attrs, kept
+        self.parent, self.tag, self.attrs, self.cls = parent, tag, attrs, cls
+        self.near = near  # the nearest kept ancestor
+        self.base = base  # selectors that its tag and attributes satisfy
         self.start = self.stop = start
-        self.cls, self.pieces = "", []
+        self.met = self.span = 0
+        self.pieces = []
         self.first = self.is_last = True
         self.kid = self.inner = self.deep = None
 
 
-def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None) -> list[_Node]:
+class _StartTags:
+    """Reads start tags: whether the node may be wanted, its attributes, class text and selectors.
+
+    Pages of one site repeat their tags, so short ones are read once and kept.
+    """
+
+    _HELD, _SHORT = 10_000, 200
+
+    def __init__(self, keep: "_Keep | None", index: "_Index | None"):
+        self.keep, self.index = keep, index
+        self.known: dict[tuple[str, str], tuple[bool, dict[str, str], str, int]] = {}
+
+    def read(self, tag: str, source: str) -> tuple[bool, dict[str, str], str, int]:
+        found = self.known.get((tag, source))
+        if found is None:
+            wanted = self.keep is None or self.keep.may_want(tag, source)
+            attrs = _attrs(source) if wanted and source else {}
+            words = attrs.get("class")
+            cls = f" {' '.join(words.split())} " if words else ""
+            found = wanted, attrs, cls, self.index.of_tag(tag, cls, attrs) if wanted and self.index else 0
+            if len(source) <= self._SHORT:
+                if len(self.known) >= self._HELD:
+                    self.known.clear()
+                self.known[tag, source] = found
+        return found
+
+
+def _read_page(html: str, full_text: frozenset[str], start_tags: _StartTags = _StartTags(None, None)) -> list[_Node]:
     """Element nodes of one page in document order; the first is the page itself.
 
-    With ``keep``, attributes are only read of nodes that may be wanted.  The
-    places of the open elements are kept by tag, so a tag finds its partner
+    Attributes are only read of nodes that may be wanted.  The places of the open elements are kept by tag, so a tag finds its partner
     without a walk, however many elements a broken page leaves open.
     """
-    root = _Node(0, None, "#page", {}, 0, True)
+    index = start_tags.index
+    root = _Node(0, None, "#page", {}, "", 0, None, index.of_tag("#page", "", {}) if index else 0)
     nodes, stack, deep, count = [root], [root], [], 1
     open_at: dict[str, list[int]] = defaultdict(list)
-    tags, classes, names = set(), set(), set()
+    unkept: dict[int, _Node] = {}  # open nodes that are not wanted: their nearest kept ancestor
     at, size, pending = 0, len(html), 0
-    search, closes = _TOKEN.search, _CLOSES.get
+    search, closes, read_tag = _TOKEN.search, _CLOSES.get, start_tags.read
 
     while True:
         m = search(html, at)
@@ -366,23 +416,18 @@ def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None
                 if n.deep is not None:
                     deep.pop()
                 open_at[n.tag].pop()
+                unkept.pop(n.idx, None)
             del stack[shut:]
         if m["end"]:
             continue
 
         parent = stack[-1]
-        source = m["attrs"]
-        wanted = keep is None or keep.may_want(tag, source)
-        n = _Node(count, parent, tag, _attrs(source) if wanted and source else {}, start, wanted)
-        words = n.attrs.get("class")
-        if words:
-            n.cls = f" {' '.join(words.split())} "
+        wanted, attrs, cls, base = read_tag(tag, m["attrs"])
+        near = unkept.get(parent.idx, parent)
+        n = _Node(count, parent, tag, attrs, cls, start, near, base)
         count += 1
         if wanted:
             nodes.append(n)
-            tags.add(tag)
-            classes.add(n.cls)
-            names.update(n.attrs)
         if parent.kid is not None:
             parent.kid.is_last = n.first = False
         parent.kid = n
@@ -391,6 +436,8 @@ def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None
             continue
         open_at[tag].append(len(stack))
         stack.append(n)
+        if not wanted:
+            unkept[n.idx] = near
         if wanted and tag in full_text:
             n.deep = []
             deep.append(n)
@@ -399,7 +446,6 @@ def _read_page(html: str, full_text: frozenset[str], keep: "_Keep | None" = None
             at = end.start() if end else size
     for n in stack:
         n.last, n.stop, n.kid = count - 1, size, None
-    root.deep = [f"<{t}>" for t in tags] + [f"|{c}" for c in classes] + [f"[{a}]" for a in names]
     return nodes
 
 
@@ -434,6 +480,96 @@ class _Keep:
         return tag in self.tags or bool(source and self.source and self.source.search(source.lower()))
 
 
+class _Index:
+    """Finds the selectors that each node of a page satisfies; one bit for each selector.
+
+    Tag, class text and attribute names are looked up, so a node costs a few
+    look-ups however many selectors there are.
+    """
+
+    def __init__(self, sels: Iterable[Sel]):
+        asked = list(dict.fromkeys(sels))
+        parts = list(dict.fromkeys(p for s in asked for p in s.parts()))
+        bit = {p: 1 << i for i, p in enumerate(parts)}
+        self.keys = {i: p.key() for i, p in enumerate(parts) if p in set(asked)}
+        if len(set(self.keys.values())) < len(self.keys):
+            raise ValueError("two selectors share a number; write one of them in another way")
+        self.asked = sum(1 << i for i in self.keys)
+        self.rooted = sum(bit[p] for p in parts if not p.above())
+        self.above = {bit[p]: sum(bit[a] for a in set(p.above())) for p in parts if p.above()}
+        self.any_tag = sum(bit[p] for p in parts if not p.tag)
+        self.tags = {t: self.any_tag | sum(bit[p] for p in parts if p.tag == t) for t in {p.tag for p in parts if p.tag}}
+        self.classed = [(bit[p], [f" {p.cls} "] * bool(p.cls) + list(p.cls_has)) for p in parts if p.cls or p.cls_has]
+        self.any_class = sum(bit.values()) - sum(b for b, _ in self.classed)
+        self.no_attr = sum(bit[p] for p in parts if not p.attr)
+        self.attrs: dict[str, list[tuple[int, Sel]]] = defaultdict(list)
+        for p in parts:
+            if p.attr:
+                self.attrs[p.attr].append((bit[p], p))
+        self.not_first = ~sum(bit[p] for p in parts if p.is_first)
+        self.not_last = ~sum(bit[p] for p in parts if p.is_last)
+        self.holding = [(bit[p], p.contains) for p in parts if p.contains]
+
+    def _of_class(self, words: str) -> int:
+        found = self.any_class
+        for b, needed in self.classed:
+            if all(w in words for w in needed):
+                found |= b
+        return found
+
+    def of_tag(self, tag: str, cls: str, attrs: dict[str, str]) -> int:
+        """Selectors that a start tag satisfies, whatever stands around it."""
+        met = self.tags.get(tag, self.any_tag) & (self._of_class(cls) if cls else self.any_class)
+        if met:
+            named = self.no_attr
+            for name in attrs.keys() & self.attrs.keys():
+                value = attrs[name]
+                for b, p in self.attrs[name]:
+                    if value == p.eq if p.eq is not None else p.has is None or p.has in value:
+                        named |= b
+            met &= named
+        return met
+
+    def _own(self, n: _Node) -> int:
+        """Selectors the node satisfies, their ancestors aside."""
+        met = n.base
+        if met:
+            if not n.first:
+                met &= self.not_first
+            if not n.is_last:
+                met &= self.not_last
+            for b, text in self.holding:
+                if met & b and (n.deep is None or text not in "".join(n.deep)):
+                    met &= ~b
+        return met
+
+    def hits(self, nodes: list[_Node]) -> dict[int, list[int]]:
+        """Places of the matching nodes per key of a selector; ``_NOWHERE`` has none."""
+        out: dict[int, list[int]] = {_NOWHERE: []}
+        over = [0] * len(nodes)  # selectors that any ancestor satisfies
+        place_of = {0: 0}
+        for place, n in enumerate(nodes):
+            place_of[n.idx] = place
+            if n.near is not None:
+                up = place_of[n.near.idx]
+                over[place] = over[up] | nodes[up].met
+            own = self._own(n)
+            met = own & self.rooted
+            waiting = own & ~self.rooted
+            while waiting:
+                b = waiting & -waiting
+                waiting ^= b
+                if self.above[b] & over[place]:
+                    met |= b
+            n.met = met
+            met &= self.asked
+            while met:
+                b = met & -met
+                met ^= b
+                out.setdefault(self.keys[b.bit_length() - 1], []).append(place)
+        return out
+
+
 # Nodes kept as Python objects before they are packed into Arrow memory.
 _NODES_HELD = 50_000
 
@@ -455,9 +591,23 @@ def _texts(groups: list[list[tuple[int, str]]]) -> pa.Array:
     return pa.ListArray.from_arrays(_offsets([len(g) for g in groups]), entries)
 
 
-def _to_arrow(pages: list[list[_Node] | None]) -> pa.Array:
+def _to_arrow(pages: list[list[_Node] | None], index: "_Index | None" = None) -> pa.Array:
     flat = [n for page in pages if page for n in page]
     i32 = pa.int32()
+    found: list[dict[int, list[int]]] = []
+    for page in pages:
+        if page:
+            numbers = [n.idx for n in page]
+            for place, n in enumerate(page):
+                n.span = bisect_right(numbers, n.last) - place
+            found.append(index.hits(page) if index else {})
+            found += [{}] * (len(page) - 1)
+    lists = [v for f in found for v in f.values()]
+    hits = pa.MapArray.from_arrays(
+        _offsets([len(f) for f in found]),
+        pa.array([k for f in found for k in f], i32),
+        pa.ListArray.from_arrays(_offsets([len(v) for v in lists]), pa.array([i for v in lists for i in v], i32)),
+    )
     attrs = pa.MapArray.from_arrays(
         _offsets([len(n.attrs) for n in flat]),
         pa.array([k for n in flat for k in n.attrs], pa.string()),
@@ -486,6 +636,9 @@ def _to_arrow(pages: list[list[_Node] | None]) -> pa.Array:
             pa.array([None if n.deep is None else "".join(n.deep) for n in flat], pa.string()),
             pa.array([n.start for n in flat], i32),
             pa.array([n.stop for n in flat], i32),
+            pa.array([i for page in pages if page for i in range(len(page))], i32),
+            pa.array([n.span for n in flat], i32),
+            hits,
         ],
         [f.name for f in NODE.fields],
     )
@@ -494,33 +647,40 @@ def _to_arrow(pages: list[list[_Node] | None]) -> pa.Array:
     return pa.ListArray.from_arrays(starts, entries, mask=missing)
 
 
-def parse_nodes(html: Column, used: Iterable[Sel] | None = None, full_text: Iterable[str] = ("a",)) -> Column:
+def parse_nodes(
+    html: Column, used: Iterable[Sel] | None = None, full_text: Iterable[str] = ("a",), index: Iterable[Sel] | None = None
+) -> Column:
     """Array of nodes of a page.
 
     ``used`` lists the selectors of the query, to leave out nodes none of them
-    can match.  ``full_text`` names the tags whose whole inner text is wanted
+    can match.  ``index`` lists those that are asked of a :class:`PageNodes`
+    column (default: all of ``used``).  ``full_text`` names the tags whose whole inner text is wanted
     for ``contains``.  Marked non-deterministic so that no optimizer rule copies
     the call into a filter and reads each page twice; filter on plain columns
     before parsing.
     """
-    keep = _Keep.of(used) if used is not None else None
+    used = None if used is None else list(used)
+    asked = list(index if index is not None else used or ())
+    keep = _Keep.of([*used, *asked]) if used is not None else None
+    index = _Index(asked) if asked else None
     wide = frozenset(full_text)
 
     def read(batch: pa.Array) -> pa.Array:
         done: list[pa.Array] = []
         pages: list[list[_Node] | None] = []
         held = 0
+        start_tags = _StartTags(keep, index)
         collecting = gc.isenabled()
         gc.disable()  # many small objects and no cycles among them
         try:
             for value in batch:
                 source = value.as_py()
-                pages.append(None if source is None else _read_page(source, wide, keep))
+                pages.append(None if source is None else _read_page(source, wide, start_tags))
                 held += len(pages[-1] or ())
                 if held > _NODES_HELD:
-                    done.append(_to_arrow(pages))
+                    done.append(_to_arrow(pages, index))
                     pages, held = [], 0
-            done.append(_to_arrow(pages))
+            done.append(_to_arrow(pages, index))
         finally:
             if collecting:
                 gc.enable()

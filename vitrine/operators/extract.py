@@ -16,7 +16,7 @@ from vitrine.functions.jsontext import parsed_json
 from vitrine.functions import text
 from vitrine.functions.nodes import (
     PageNodes, Sel, all_attrs, all_texts, first_attr, first_inner_text, first_list, first_of, first_outer_or_text,
-    each, exists, first_text, let, matches, parse_nodes, quoted, select, under, where,
+    box, each, exists, first_text, let, parse_nodes, quoted, select, where,
 )
 from vitrine.functions.truth import variant_filled_sql
 from vitrine.schemas import ASSETS, PRICE_DATA, PRODUCT, STOCK
@@ -449,7 +449,7 @@ def _usable(pairs: str) -> str:
 
 
 def table_characteristics(p: Page) -> str:
-    def of_row(row: str, cells: str) -> str:
+    def of_row(row: str) -> str:
         found = lambda own: (
             f"named_struct('k', {first_of(first_text(select(own, ROW_KEYS)))},"
             f" 'v', {first_text(select(own, ROW_VALUES))}, 'cells', {all_texts(select(own, CELL))})")
@@ -457,19 +457,15 @@ def table_characteristics(p: Page) -> str:
             f"CASE WHEN {r}.k IS NOT NULL THEN {_pair(f'{r}.k', f'{r}.v')}"
             f" WHEN size({r}.cells) >= 2 THEN"
             f" {_pair(f'try_element_at({r}.cells, 1)', f'try_element_at({r}.cells, -1)')} END")
-        return let(where(cells, lambda n: under(n, row)), lambda own: let(found(own), pick))
+        return let(box(p.nodes, row), lambda own: let(found(own), pick))
 
-    # Cells are only looked up on pages that have rows.
-    parts = where(p.nodes, lambda n: matches(n, ROW_KEYS + ROW_VALUES + (CELL,)))
-    return _usable(let(select(p.nodes, SPEC_ROWS), lambda rows: let(
-        f"CASE WHEN size({rows}) > 0 THEN {parts} ELSE slice({p.nodes}, 1, 0) END",
-        lambda cells: each(rows, lambda row: of_row(row, cells)))))
+    return _usable(each(select(p.nodes, SPEC_ROWS), of_row))
 
 
 def list_characteristics(p: Page) -> str:
     """One pair per list container."""
-    def of_box(box: str) -> str:
-        return let(where(p.nodes, lambda n: under(n, box)), lambda own: _pair(
+    def of_box(n: str) -> str:
+        return let(box(p.nodes, n), lambda own: _pair(
             first_text(select(own, LIST_KEYS)), first_text(select(own, LIST_VALUES))))
 
     return _usable(each(select(p.nodes, SPEC_LISTS), of_box))
@@ -477,8 +473,8 @@ def list_characteristics(p: Page) -> str:
 
 def div_characteristics(p: Page) -> str:
     """One pair per block; a key or value element is kept with its markup."""
-    def of_box(box: str) -> str:
-        return let(where(p.nodes, lambda n: under(n, box)), lambda own: _pair(
+    def of_box(n: str) -> str:
+        return let(box(p.nodes, n), lambda own: _pair(
             first_outer_or_text(select(own, DIV_KEYS), select(own, DIV_KEY_TEXT), p.html),
             first_outer_or_text(select(own, DIV_VALUES), select(own, DIV_VALUE_TEXT), p.html)))
 
@@ -623,7 +619,7 @@ _LOOKS_LIKE_PRODUCT = r"""(?i)<h1|class\s*=\s*(?:"[^"]*(?:title|&)|'[^']*(?:titl
 
 def with_nodes(pages: DataFrame, used=None, full_text=("a",)) -> DataFrame:
     """``pages`` plus ``nodes`` and the ``base`` address of each page."""
-    parsed = pages.withColumn("nodes", parse_nodes(F.col("html"), None if used is None else [*used, BASE], full_text))
+    parsed = pages.withColumn("nodes", parse_nodes(F.col("html"), used, full_text, [*(used or ()), BASE]))
     return parsed.withColumn("base", base_url())
 
 

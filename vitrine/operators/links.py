@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vitrine.functions import text
 from vitrine.functions.nodes import (
-    PageNodes, Sel, all_attrs, all_texts, each, exists, first_attr, first_list, first_of, let, matches, parse_nodes, select,
-    under, where,
+    PageNodes, Sel, all_attrs, all_texts, box, each, first_attr, first_list, first_of, let, parse_nodes, select, where,
 )
 from vitrine.operators.extract import BASE, base_url
 from vitrine.sources.scratch import remove_path, write_step
@@ -27,11 +26,10 @@ LISTING_USED = (*LINKS, *CARDS, ANCHOR, *NEXT, LAST_PAGE, BASE)
 
 def product_links(nodes: PageNodes = PageNodes("nodes")) -> Column:
     """Links to products as written: two link classes, else the first link of each card."""
-    def first_link(card: str, anchors: str) -> str:
-        return first_attr(where(anchors, lambda n: under(n, card)), "href")
+    def first_link(card: str) -> str:
+        return first_attr(select(box(nodes, card), ANCHOR), "href")
 
-    from_cards = let(select(nodes, ANCHOR), lambda anchors: where(
-        each(select(nodes, CARDS), lambda card: first_link(card, anchors)), lambda u: f"{u} <> ''"))
+    from_cards = where(each(select(nodes, CARDS), first_link), lambda u: f"{u} <> ''")
     return F.expr(first_list(*[all_attrs(select(nodes, s), "href") for s in LINKS], from_cards))
 
 
@@ -146,8 +144,8 @@ def listing_cards(pages: DataFrame) -> DataFrame:
     used = (CARD, CARD_NAME, CARD_PRICE, CARD_IMAGE, Sel(attr="data-product-id"), Sel(attr="data-category"))
     kept = [c for c in pages.columns if c != "html"]
     parsed = pages.select(*kept, parse_nodes(F.col("html"), used).alias("nodes"))
-    own = each(select("nodes", CARD), lambda card: (
-        f"named_struct('idx', {card}.idx, 'own', {where('nodes', lambda n: under(n, card))})"))
+    own = each(select(PageNodes("nodes"), CARD), lambda card: (
+        f"named_struct('idx', {card}.idx, 'own', {box('nodes', card)})"))
     cards = exploded(parsed.select(*kept, F.explode_outer(F.expr(own)).alias("card")), "card").select(
         *kept, "card.idx",
         F.expr(all_attrs("card.own", "data-product-id")).alias("ids"),
@@ -171,9 +169,9 @@ def category_links(pages: DataFrame, region: str) -> DataFrame:
     kept = [c for c in pages.columns if c != "html"]
     parsed = pages.select(*kept, parse_nodes(
         F.col("html"), (CATEGORY_LINK, Sel(attr="href"))).alias("nodes"))
-    found = each(select("nodes", CATEGORY_LINK), lambda c: (
+    found = each(select(PageNodes("nodes"), CATEGORY_LINK), lambda c: (
         f"named_struct('name', {c}.inner.text, 'url', "
-        f"{first_attr(where('nodes', lambda n: under(n, c)), 'href')})"))
+        f"{first_attr(box('nodes', c), 'href')})"))
     return exploded(parsed.select(*kept, F.explode_outer(F.expr(found)).alias("c")), "c").select(
         *kept, "c.name", "c.url", F.lit(region).alias("region"))
 
