@@ -25,7 +25,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from html import unescape
-from itertools import count
+from itertools import accumulate, chain, count
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -319,7 +319,7 @@ def _attrs(source: str) -> dict[str, str]:
 
 class _Node:
     __slots__ = ("idx", "parent", "last", "tag", "attrs", "cls", "first", "kid", "pieces", "is_last",
-                 "start", "stop", "inner", "deep", "near", "met", "span", "base")
+                 "start", "stop", "inner", "deep", "near", "met", "over", "base")
 
     def __init__(self, idx, parent, tag, attrs, cls, start, near, base):
         self.idx = self.last = idx
@@ -327,7 +327,7 @@ class _Node:
         self.near = near  # the nearest kept ancestor
         self.base = base  # selectors that its tag and attributes satisfy
         self.start = self.stop = start
-        self.met = self.span = 0
+        self.met = self.over = 0  # selectors that it satisfies, and that any ancestor does
         self.pieces = []
         self.first = self.is_last = True
         self.kid = self.inner = self.deep = None
@@ -530,43 +530,46 @@ class _Index:
             met &= named
         return met
 
-    def _own(self, n: _Node) -> int:
-        """Selectors the node satisfies, their ancestors aside."""
-        met = n.base
-        if met:
-            if not n.first:
-                met &= self.not_first
-            if not n.is_last:
-                met &= self.not_last
-            for b, text in self.holding:
-                if met & b and (n.deep is None or text not in "".join(n.deep)):
-                    met &= ~b
-        return met
-
     def hits(self, nodes: list[_Node]) -> dict[int, list[int]]:
         """Places of the matching nodes per key of a selector; ``_NOWHERE`` has none."""
         out: dict[int, list[int]] = {_NOWHERE: []}
-        over = [0] * len(nodes)  # selectors that any ancestor satisfies
-        place_of = {0: 0}
+        not_first, not_last, holding, rooted, asked = self.not_first, self.not_last, self.holding, self.rooted, self.asked
+        places: dict[int, list[int]] = {}
         for place, n in enumerate(nodes):
-            place_of[n.idx] = place
-            if n.near is not None:
-                up = place_of[n.near.idx]
-                over[place] = over[up] | nodes[up].met
-            own = self._own(n)
-            met = own & self.rooted
-            waiting = own & ~self.rooted
+            near, met = n.near, n.base
+            if near is not None:
+                n.over = near.over | near.met
+            if not met:
+                continue
+            if not n.first:
+                met &= not_first
+            if not n.is_last:
+                met &= not_last
+            for b, text in holding:
+                if met & b and (n.deep is None or text not in "".join(n.deep)):
+                    met &= ~b
+            waiting = met & ~rooted
+            met &= rooted
             while waiting:
                 b = waiting & -waiting
                 waiting ^= b
-                if self.above[b] & over[place]:
+                if self.above[b] & n.over:
                     met |= b
             n.met = met
-            met &= self.asked
+            met &= asked
+            if met:  # nodes that satisfy the same selectors are put down together
+                places.setdefault(met, []).append(place)
+        several = set()
+        for met, some in places.items():
             while met:
                 b = met & -met
                 met ^= b
-                out.setdefault(self.keys[b.bit_length() - 1], []).append(place)
+                key = self.keys[b.bit_length() - 1]
+                if key in out:
+                    several.add(key)
+                out.setdefault(key, []).extend(some)
+        for key in several:
+            out[key].sort()
         return out
 
 
@@ -575,11 +578,7 @@ _NODES_HELD = 50_000
 
 
 def _offsets(sizes: list[int]) -> pa.Array:
-    out, at = [0], 0
-    for s in sizes:
-        at += s
-        out.append(at)
-    return pa.array(out, pa.int32())
+    return pa.array(accumulate(sizes, initial=0), pa.int32())
 
 
 def _texts(groups: list[list[tuple[int, str]]]) -> pa.Array:
@@ -594,19 +593,22 @@ def _texts(groups: list[list[tuple[int, str]]]) -> pa.Array:
 def _to_arrow(pages: list[list[_Node] | None], index: "_Index | None" = None) -> pa.Array:
     flat = [n for page in pages if page for n in page]
     i32 = pa.int32()
-    found: list[dict[int, list[int]]] = []
+    spans: list[int] = []
+    keys: list[int] = []
+    lists: list[list[int]] = []
+    held: list[int] = []  # entries of the index at each node; only the first of a page has any
     for page in pages:
         if page:
             numbers = [n.idx for n in page]
-            for place, n in enumerate(page):
-                n.span = bisect_right(numbers, n.last) - place
-            found.append(index.hits(page) if index else {})
-            found += [{}] * (len(page) - 1)
-    lists = [v for f in found for v in f.values()]
+            spans += [1 if n.last == n.idx else bisect_right(numbers, n.last, i) - i for i, n in enumerate(page)]
+            found = index.hits(page) if index else {}
+            keys += found
+            lists += found.values()
+            held.append(len(found))
+            held += [0] * (len(page) - 1)
     hits = pa.MapArray.from_arrays(
-        _offsets([len(f) for f in found]),
-        pa.array([k for f in found for k in f], i32),
-        pa.ListArray.from_arrays(_offsets([len(v) for v in lists]), pa.array([i for v in lists for i in v], i32)),
+        _offsets(held), pa.array(keys, i32),
+        pa.ListArray.from_arrays(_offsets([len(v) for v in lists]), pa.array(chain.from_iterable(lists), i32)),
     )
     attrs = pa.MapArray.from_arrays(
         _offsets([len(n.attrs) for n in flat]),
@@ -636,8 +638,8 @@ def _to_arrow(pages: list[list[_Node] | None], index: "_Index | None" = None) ->
             pa.array([None if n.deep is None else "".join(n.deep) for n in flat], pa.string()),
             pa.array([n.start for n in flat], i32),
             pa.array([n.stop for n in flat], i32),
-            pa.array([i for page in pages if page for i in range(len(page))], i32),
-            pa.array([n.span for n in flat], i32),
+            pa.array(chain.from_iterable(range(len(page)) for page in pages if page), i32),
+            pa.array(spans, i32),
             hits,
         ],
         [f.name for f in NODE.fields],

@@ -8,6 +8,7 @@ base address) are evaluated once per page.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -152,6 +153,10 @@ def _selectors_in(value) -> list[Sel]:
 
 USED = [s for name, value in list(globals().items()) if name.isupper() for s in _selectors_in(value)]
 USED += [Sel(attr=f"data-{field}") for field, _ in SPECIAL.values()]
+CHARACTERISTICS_USED = _selectors_in((
+    SPEC_ROWS, ROW_KEYS, ROW_VALUES, CELL, SPEC_LISTS, LIST_KEYS, LIST_VALUES, SPEC_DIVS, DIV_KEYS, DIV_KEY_TEXT,
+    DIV_VALUES, DIV_VALUE_TEXT, LD_SCRIPT))
+GALLERY_USED = _selectors_in((GALLERY, JSON_SCRIPT))
 
 
 # ---------------------------------------------------------------------------
@@ -623,14 +628,14 @@ def with_nodes(pages: DataFrame, used=None, full_text=("a",)) -> DataFrame:
     return parsed.withColumn("base", base_url())
 
 
-def product_pages(pages: DataFrame) -> DataFrame:
-    """Parsed pages that carry a product heading.
+def product_pages(pages: DataFrame, used: Iterable[Sel] = USED) -> DataFrame:
+    """Parsed pages that carry a product heading, for the selectors ``used`` (default: those of all fields).
 
     The test on the source text runs first: it drops pages that cannot pass
     before any of them reaches Python.
     """
     likely = pages.where(F.col("html").rlike(_LOOKS_LIKE_PRODUCT))
-    return with_nodes(likely, USED).where(is_product_page(Page()))
+    return with_nodes(likely, [*used, *PRODUCT_MARK]).where(is_product_page(Page()))
 
 
 def _variant_text(c: Column) -> Column:

@@ -15,12 +15,12 @@ _P = X.Page()
 _FROM = "(SELECT *, p_partkey AS k, p_partkey % 4 AS l FROM part WHERE p_partkey % 20 <> 19) AS p"
 
 
-def _parsed(spark, sf):
-    return X.product_pages(product_pages(spark, sf)).withColumnRenamed("page_id", "k")
+def _parsed(spark, sf, used=X.USED):
+    return X.product_pages(product_pages(spark, sf), used).withColumnRenamed("page_id", "k")
 
 
-def _take(spark, sf, **columns):
-    return _parsed(spark, sf).select("k", *[c.alias(n) for n, c in columns.items()])
+def _take(spark, sf, used=X.USED, **columns):
+    return _parsed(spark, sf, used).select("k", *[c.alias(n) for n, c in columns.items()])
 
 
 def _shown(pairs):
@@ -134,7 +134,7 @@ def main_images(spark, sf):
 
 @register("gallery_images", "X16", f"SELECT k, {_GALLERY} AS images FROM {_FROM}")
 def gallery_images(spark, sf):
-    return _take(spark, sf, images=F.array_join(X.gallery_images(_P), "|"))
+    return _take(spark, sf, X.GALLERY_USED, images=F.array_join(X.gallery_images(_P), "|"))
 
 
 @register("json_images", "X17", f"""
@@ -181,27 +181,27 @@ _LD = """CASE WHEN l = 3 THEN 'Volume=' || p_size || 'ml; Organic=True; Rank=' |
 
 @register("table_characteristics", "X22", f"SELECT k, {_TABLE} AS pairs FROM {_FROM}")
 def table_characteristics(spark, sf):
-    return _take(spark, sf, pairs=_shown(F.expr(X.table_characteristics(_P))))
+    return _take(spark, sf, X.CHARACTERISTICS_USED, pairs=_shown(F.expr(X.table_characteristics(_P))))
 
 
 @register("list_characteristics", "X23", f"SELECT k, {_LIST} AS pairs FROM {_FROM}")
 def list_characteristics(spark, sf):
-    return _take(spark, sf, pairs=_shown(F.expr(X.list_characteristics(_P))))
+    return _take(spark, sf, X.CHARACTERISTICS_USED, pairs=_shown(F.expr(X.list_characteristics(_P))))
 
 
 @register("block_characteristics", "X24", f"SELECT k, {_DIV} AS pairs FROM {_FROM}")
 def block_characteristics(spark, sf):
-    return _take(spark, sf, pairs=_shown(F.expr(X.div_characteristics(_P))))
+    return _take(spark, sf, X.CHARACTERISTICS_USED, pairs=_shown(F.expr(X.div_characteristics(_P))))
 
 
 @register("jsonld_characteristics", "X25", f"SELECT k, {_LD} AS pairs FROM {_FROM}")
 def jsonld_characteristics(spark, sf):
-    return _take(spark, sf, pairs=_shown(F.expr(X.jsonld_characteristics(_P))))
+    return _take(spark, sf, X.CHARACTERISTICS_USED, pairs=_shown(F.expr(X.jsonld_characteristics(_P))))
 
 
 @register("characteristics", "X26", f"SELECT k, {_TABLE} || {_LIST} || {_DIV} || {_LD} AS pairs FROM {_FROM}")
 def characteristics(spark, sf):
-    return _take(spark, sf, pairs=_shown(X.characteristics(_P)))
+    return _take(spark, sf, X.CHARACTERISTICS_USED, pairs=_shown(X.characteristics(_P)))
 
 
 _ROUTED = {
@@ -214,7 +214,7 @@ _ROUTED = {
 
 @register("routed_characteristics", "X27", f"SELECT k, {', '.join(f'{v} AS {n}' for n, v in _ROUTED.items())} FROM {_FROM}")
 def routed_characteristics(spark, sf):
-    picked = _take(spark, sf, pairs=X.characteristics(_P))
+    picked = _take(spark, sf, X.CHARACTERISTICS_USED, pairs=X.characteristics(_P))
     read = {"alcohol_content": extract_float, "year": extract_number}
     return picked.select("k", *[X.routed(F.col("pairs"), n, read.get(n, strip)).alias(n) for n in _ROUTED])
 
