@@ -3,6 +3,7 @@
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -284,6 +285,55 @@ def test_language_sums_over_all_segmentations():
     assert math.isclose(model.log_scores(["aba"])[0, 0], math.log(want))
 
 
+def all_cuts(word):
+    """Every way to cut a word into pieces."""
+    return [[word]] + [[word[:i], *rest] for i in range(1, len(word)) for rest in all_cuts(word[i:])]
+
+
+def test_language_pieces_learnt_over_all_segmentations():
+    from vitrine.llm.language import UNSEEN, PieceModel
+
+    pieces = ["a", "b", "c", "ab", "bca", "abcab"]
+    counts = [Counter({"abcab": 3, "cab": 2, "bxa": 1}), Counter({"ca": 4, "abcab": 1})]
+    model = PieceModel(pieces, ["x", "y"])
+    for _ in range(3):
+        table, want = model.table.copy(), np.full_like(model.table, UNSEEN)
+        for g, words_of in enumerate(counts):
+            for word, n in words_of.items():
+                ids = [[pieces.index(p) + 1 if p in pieces else 0 for p in cut] for cut in all_cuts(word)
+                       if all(p in pieces or len(p) == 1 for p in cut)]
+                chances = [math.prod(table[i, g] for i in cut) for cut in ids]
+                for cut, chance in zip(ids, chances):
+                    for i in cut:
+                        want[i, g] += n * chance / sum(chances)
+        model.fit(counts, rounds=1)
+        assert np.allclose(model.table, want / want.sum(axis=0))
+
+
+def test_language_long_words_are_summed_whole(monkeypatch):
+    from vitrine.llm import language
+
+    rng = random.Random(4)
+    model = language.PieceModel(["a", "b", "ab", "ba", "abba", "aabbab"], ["x", "y"])
+    model.table = np.array([[0.01, 0.02], [0.3, 0.2], [0.2, 0.3], [0.2, 0.1], [0.1, 0.2], [0.1, 0.1], [0.09, 0.08]])
+    some = ["".join(rng.choices("abz", k=n)) for n in (1, 49, 50, 51, 400, 1003)]
+    whole = model.log_scores(some)
+    monkeypatch.setattr(language, "_STRETCH", 50)
+    assert np.allclose(model.log_scores(some), whole) and np.isfinite(whole).all()
+    short = "abzabbab"
+    want = sum(math.prod(model.table[model.pieces.index(p) + 1 if p in model.pieces else 0, 0] for p in cut)
+               for cut in all_cuts(short) if all(p in model.pieces or len(p) == 1 for p in cut))
+    assert math.isclose(model.log_scores([short])[0, 0], math.log(want))
+
+
+def test_language_vocabulary_is_kept_whole():
+    from vitrine.llm.language import VOCABULARY, public_pieces
+    from vitrine.llm.tokens import vocabulary_path
+
+    pieces = public_pieces(vocabulary_path(VOCABULARY))
+    assert max(map(len, pieces)) > 12 and all(p.isalpha() and p == p.lower() for p in pieces)
+
+
 def test_language_held_out(spark):
     from vitrine.llm.language import identify_languages
 
