@@ -86,6 +86,53 @@ def test_endpoint_health(spark):
     assert tuple(monitor.endpoint_health(monitor.endpoint_states(log), known).collect()[0]) == (7, 3, 3, 1, 3)
 
 
+def states_by_hand(events):
+    """Counts and last outcome per endpoint, null times and ids first."""
+    states = {}
+    for endpoint, outcome, ts, event_id in sorted(events, key=lambda e: (e[2] is not None, e[2] or 0, e[3] is not None, e[3] or 0)):
+        total, ok, bad, last = states.get(endpoint, (0, 0, 0, None))
+        known = outcome in ("success", "failed")
+        states[endpoint] = (total + 1, ok + (outcome == "success"), bad + (outcome == "failed"), (outcome == "failed") if known else last)
+    return states
+
+
+@pytest.mark.parametrize("time", ["timestamp", "timestamp_ntz"])
+def test_endpoint_states_against_brute_force(spark, time):
+    rng = random.Random(8)
+    times = [None, datetime(1, 1, 2), datetime(1969, 12, 31, 23, 59, 59, 999999), datetime(2024, 3, 31, 2, 30), datetime(9999, 12, 30)]
+    ids = [None, -2**63, -1, 0, 2**63 - 1, *range(10, 400)]
+    rng.shuffle(ids)
+    events = [(rng.choice("abcd"), rng.choice(["success", "failed", "sent", None]), rng.choice(times), i) for i in ids]
+    events += [(None, "failed", times[3], 1000), ("only sent", "sent", times[3], 1001)]
+    log = spark.createDataFrame(events, f"endpoint string, outcome string, ts {time}, event_id bigint")
+    states = monitor.endpoint_states(log)
+    assert {r[0]: tuple(r)[1:] for r in states.collect()} == states_by_hand(events)
+    assert "SortAggregate" not in states._jdf.queryExecution().executedPlan().toString()
+    assert monitor.endpoint_states(log.limit(0)).collect() == []
+
+
+def test_endpoint_windows_forget_endpoints(spark, folder):
+    from pyspark.sql.types import StructType
+    schema = "endpoint string, outcome string, ts timestamp, event_id bigint"
+    at = datetime(2024, 1, 1)
+    hours = ([1, 0.5], [30, 2], [29, 28], [60], [3, 61, 59.9], [100], [101])  # hour 3 comes after its window has closed
+    batches = [[(f"e{n}{i}" if i % 2 else "steady", "failed" if (n + i) % 3 else "success", at + timedelta(hours=h), 10 * n + i)
+                for i, h in enumerate(own)] for n, own in enumerate(hours)]
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.json(f"{folder}/in{n}")
+    stream = streams.read_stream(spark, f"{folder}/in*", StructType.fromDDL(schema), maxFilesPerTrigger=1)
+    query = streams.keep_endpoint_windows(stream, f"{folder}/out", f"{folder}/check", width="6 hours")
+    query.awaitTermination()
+    want = states_by_hand([e for rows in batches for e in rows if e[3] != 40])
+    got = {r[0]: tuple(r)[1:] for r in streams.kept_endpoint_states(spark, f"{folder}/out").collect()}
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert len(got) < 9 and got == want, held
+    assert max(held) > held[-1] and held[-1] <= 2  # seven endpoints came, state holds the open window alone
+    # the same rows again, as after a lost driver, change nothing
+    again = spark.read.parquet(f"{folder}/out")
+    assert {r[0]: tuple(r)[1:] for r in monitor.combined_states(again.unionByName(again)).collect()} == got
+
+
 def test_late_events_are_left_out(spark, folder):
     schema = "ts timestamp, event_type string"
     at = datetime(2024, 1, 1, 12)

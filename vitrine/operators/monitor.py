@@ -6,7 +6,9 @@ The log has ``run``, ``ts`` (timestamp), ``kind`` and, where they apply,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ITEM, REQUEST, RESPONSE, RECEIVED, EXCEPTION, ERROR = (
     "item", "request", "response", "response_received", "exception", "error")
@@ -109,20 +111,61 @@ def summary_text(summary: DataFrame) -> DataFrame:
 SUCCESS, FAILED = "success", "failed"
 
 
-def endpoint_states(log: DataFrame) -> DataFrame:
-    """Per endpoint: requests by outcome, and whether the last outcome was a failure.
+def outcome_order(log: DataFrame) -> Column:
+    """Time, ``event_id`` and outcome of a success or failure as one number; null for other events.
 
-    ``log`` has ``endpoint``, ``outcome``, ``ts`` and the unique ``event_id``
-    that orders events of one instant.
+    A number of fixed width is what a hash aggregate can keep in place; a struct
+    would make it sort.  Micros since the year 1 and the id lie above the last
+    digit pair by pair, null before all others; the number is odd for a failure.
+    Times beyond the year 9999 raise.
     """
-    return log.groupBy("endpoint").agg(
+    if isinstance(log.schema["ts"].dataType, T.TimestampNTZType):
+        micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    else:
+        micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    first = -62_135_596_800_000_000  # the year 1
+    place = F.coalesce(micros - F.lit(first) + 1, F.lit(0)).cast("decimal(18,0)")
+    event = F.coalesce(F.col("event_id").cast("bigint").cast("decimal(20,0)") + F.lit(Decimal(2**63 + 1)), F.lit(Decimal(0)))
+    failure = (F.col("outcome") == FAILED).cast("int")
+    number = (place * F.lit(Decimal(2 * 10**19)) + event.cast("decimal(20,0)")) * F.lit(Decimal(2)) + failure
+    return F.when(F.col("outcome").isin(SUCCESS, FAILED), number.cast("decimal(38,0)"))
+
+
+def endpoint_counts(log: DataFrame) -> list[Column]:
+    """Requests by outcome and the last success or failure (see :func:`outcome_order`)."""
+    return [
         F.count(F.lit(1)).alias("total_requests"),
         F.count_if(F.col("outcome") == SUCCESS).alias("successful"),
         F.count_if(F.col("outcome") == FAILED).alias("failed"),
-        (F.max_by(
-            "outcome", F.when(F.col("outcome").isin(SUCCESS, FAILED), F.struct("ts", "event_id"))) == FAILED
-         ).alias("is_blacklisted"),
-    )
+        F.max(outcome_order(log)).alias("last_outcome"),
+    ]
+
+
+def endpoint_states(log: DataFrame) -> DataFrame:
+    """Per endpoint: requests by outcome, and whether the last outcome was a failure.
+
+    ``log`` has ``endpoint``, ``outcome``, ``ts`` and the unique whole number
+    ``event_id`` that orders events of one instant.
+    """
+    return with_blacklist(log.groupBy("endpoint").agg(*endpoint_counts(log)))
+
+
+def with_blacklist(counts: DataFrame) -> DataFrame:
+    """The last outcome as a flag: null for an endpoint with neither success nor failure."""
+    return counts.select(
+        "endpoint", "total_requests", "successful", "failed", (F.col("last_outcome") % 2 == 1).alias("is_blacklisted"))
+
+
+def combined_states(parts: DataFrame) -> DataFrame:
+    """Endpoint states from the counts of windows, each window as often as it was told.
+
+    Counts and last outcome of a window only grow, so the largest of each is its
+    newest state, in whatever order the rows came and however often they repeat.
+    """
+    figures = ("total_requests", "successful", "failed", "last_outcome")
+    newest = parts.groupBy("endpoint", "window_start").agg(*[F.max(c).alias(c) for c in figures])
+    return with_blacklist(newest.groupBy("endpoint").agg(
+        *[F.sum(c).alias(c) for c in figures[:3]], F.max("last_outcome").alias("last_outcome")))
 
 
 def endpoint_health(states: DataFrame, endpoints: DataFrame | None = None) -> DataFrame:

@@ -178,17 +178,27 @@ def stream_append_replayed(spark, sf):
         F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.countDistinct("batch_id").cast("int").alias("n_batches"))
 
 
-@register("stream_endpoint_states", "M11", _STATES)
-def stream_endpoint_states(spark, sf):
-    target, checkpoint = new_path(spark, "states"), new_path(spark, "checkpoint")
+def _outcome_stream(spark, sf):
     schema = table(spark, sf, "events").schema
-    rows = streams.read_stream(spark, sf, schema, fmt="parquet", pathGlobFilter="events.parquet").selectExpr(
+    return streams.read_stream(spark, sf, schema, fmt="parquet", pathGlobFilter="events.parquet").selectExpr(
         "event_id", "ts", "concat('proxy-', user_id) AS endpoint",
         "CASE event_type WHEN 'error' THEN 'failed' WHEN 'view' THEN 'success' ELSE 'sent' END AS outcome")
 
+
+@register("stream_endpoint_states", "M11", _STATES)
+def stream_endpoint_states(spark, sf):
+    target, checkpoint = new_path(spark, "states"), new_path(spark, "checkpoint")
+
     def keep(batch, batch_id):
         batch.write.mode("overwrite").parquet(target)
 
-    streams.endpoint_states_stream(rows).writeStream.outputMode("complete").foreachBatch(keep).option(
+    streams.endpoint_states_stream(_outcome_stream(spark, sf)).writeStream.outputMode("complete").foreachBatch(keep).option(
         "checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(target)
+
+
+@register("stream_endpoint_windows", "M11", _STATES)
+def stream_endpoint_windows(spark, sf):
+    target, checkpoint = new_path(spark, "windows"), new_path(spark, "checkpoint")
+    streams.keep_endpoint_windows(_outcome_stream(spark, sf), target, checkpoint).awaitTermination()
+    return streams.kept_endpoint_states(spark, target)

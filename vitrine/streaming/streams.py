@@ -124,5 +124,39 @@ def compact_appended(spark: SparkSession, path: str, day: str) -> None:
 
 
 def endpoint_states_stream(log: DataFrame) -> DataFrame:
-    """Endpoint health as a running aggregate; use update or complete mode."""
+    """Endpoint health as a running aggregate; use update or complete mode.
+
+    Its state has a row for each endpoint ever seen; :func:`endpoint_windows` is bounded.
+    """
     return monitor.endpoint_states(log)
+
+
+def endpoint_windows(log: DataFrame, late: str = "10 minutes", width: str = "1 day") -> DataFrame:
+    """Endpoint counts per window, for update mode.
+
+    The stream holds a window until the watermark has passed it, so an endpoint
+    that is never seen again leaves the state; events later than ``late`` and
+    events without a time are left out.  Times without a zone are read in the
+    session's.
+    """
+    log = log.withColumn("ts", F.col("ts").cast("timestamp_ltz"))
+    return (
+        log.withWatermark("ts", late)
+        .groupBy(F.window("ts", width).alias("w"), "endpoint")
+        .agg(*monitor.endpoint_counts(log))
+        .select("endpoint", F.col("w.start").alias("window_start"), "total_requests", "successful", "failed", "last_outcome")
+    )
+
+
+def keep_endpoint_windows(
+    log: DataFrame, path: str, checkpoint: str, late: str = "10 minutes", width: str = "1 day", once: bool = True
+) -> StreamingQuery:
+    """Append the windows that each micro-batch changed to a table folder; read them with :func:`kept_endpoint_states`."""
+    writer = endpoint_windows(log, late, width).writeStream.outputMode("update").foreachBatch(
+        lambda batch, batch_id: batch.write.mode("append").parquet(path)).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def kept_endpoint_states(spark: SparkSession, path: str) -> DataFrame:
+    """Endpoint states over all windows ever kept; a batch written twice counts once."""
+    return monitor.combined_states(spark.read.parquet(path))
