@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -63,6 +64,28 @@ def test_csv(spark, folder):
     assert all(open(f"{folder}/empty.csv/{p}").read().count("\n") <= 1 for p in parts)
 
 
+def test_csv_on_one_line_is_split_and_reads_back(spark, folder):
+    rng = random.Random(5)
+    cells = ["".join(rng.choices('\\\\nr\n\r", \t#é\u0085', k=rng.randrange(12))) for _ in range(3000)] + ["", "\\", "\\\\n", " x "]
+    rows = [(i, c, cells[-1 - i]) for i, c in enumerate(cells)] + [(9000, None, None)]
+    df = spark.createDataFrame(rows, ["id", "b\\\nc", "a.b"]).coalesce(1)
+    files.write_products(df, f"{folder}/a.csv", one_line=True)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = files.read_products(spark, f"{folder}/a.csv")
+        assert got.select(F.spark_partition_id()).distinct().count() > 4
+        assert got.columns == ["a.b", "b\\\nc", "id"]
+        assert {r["id"]: (r[1], r[0]) for r in got.collect()} == {str(i): (b or "", a or "") for i, b, a in rows}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    files.write_products(df.limit(0), f"{folder}/none.csv", one_line=True)
+    assert files.read_products(spark, f"{folder}/none.csv").count() == 0
+    files.write_products(df.select("`a.b`"), f"{folder}/one.csv", one_line=True)
+    assert files.read_products(spark, f"{folder}/one.csv").count() == len(rows)
+
+
 def test_xml(spark, folder):
     files.write_products(frame(spark), f"{folder}/a.xml")
     text = "\n".join(r["value"] for r in spark.read.text(f"{folder}/a.xml").collect())

@@ -148,6 +148,16 @@ def csv_round_trip(spark, sf):
     return files.read_products(spark, path)
 
 
+@register("csv_one_line", "S3 S8", """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(replace(text, ' the ', chr(13) || chr(10) || '\\n"' || chr(10)), '') AS text FROM documents""")
+def csv_one_line(spark, sf):
+    """Texts with line breaks, quotes and backslashes, in CSV files that are read with splits."""
+    path = new_path(spark, "texts.csv")
+    texts = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit(" the "), F.lit("\r\n\\n\"\n")).alias("text"))
+    files.write_products(texts, path, one_line=True)
+    return files.read_products(spark, path)
+
+
 @register("csv_header", "S8", "SELECT 'image_urls,in_stock,name,price,price_data,product_id' AS header, 0 AS marker")
 def csv_header(spark, sf):
     path = new_path(spark, "products.csv")

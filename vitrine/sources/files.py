@@ -10,6 +10,9 @@ from vitrine.functions.jsontext import parsed_json
 
 FORMATS = {"json": "json", "jsonl": "jsonl", "ndjson": "jsonl", "csv": "csv", "xml": "xml"}
 ROOT_TAG, ROW_TAG, ITEM_TAG = "products", "product", "item"
+#: Last column of a CSV file whose records are one line each; no escaped name looks like it.
+ONE_LINE = "\\one line"
+_WRITTEN = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
 
 
 def detect_format(path: str) -> str:
@@ -31,7 +34,8 @@ def read_products(
     :func:`json_layouts`).  ``jsonl`` is one object per line, ``csv`` has a header and gives text only, ``xml`` has one ``product``
     element per row.  Give a schema where it is known: without one Spark reads
     the input twice.  CSV cells may hold line breaks, which makes a file one
-    task; with ``multi_line=False`` large CSV files without them are split.
+    task; with ``multi_line=False`` large CSV files without them are split, and
+    so are those written with ``one_line=True``, which their header tells.
     An array file is one task too, since it cannot be split.
 
     JSON and XML that do not fit the schema raise an error; with ``corrupt``
@@ -72,7 +76,11 @@ def read_products(
     if fmt == "jsonl":
         return reader().json(path)
     if fmt == "csv":
-        rows = spark.read.options(header=True, multiLine=multi_line, escape='"').csv(path)
+        split = spark.read.options(header=True, escape='"').csv(path)  # reads the header alone
+        if split.columns[-1:] == [ONE_LINE]:
+            return split.select(*[
+                _broken_again(F.coalesce(F.col(f"`{c}`"), F.lit(""))).alias(_name_broken_again(c)) for c in split.columns[:-1]])
+        rows = spark.read.options(header=True, multiLine=True, escape='"').csv(path) if multi_line else split
         return rows.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in rows.columns])
     if fmt == "xml":
         layout = None if schema is None else _with_items(schema)
@@ -123,13 +131,27 @@ def json_layouts(spark: SparkSession, path: str) -> tuple[list[str], list[str],
     return (lines, [r["file"] for r in read if r["is_one"]], doubled + [r["file"] for r in read if not r["is_one"]])
 
 
-def write_products(df: DataFrame, path: str, fmt: str = "auto", mode: str = "errorifexists") -> None:
-    """Write in one of the formats; every task writes its own part."""
+def write_products(
+    df: DataFrame, path: str, fmt: str = "auto", mode: str = "errorifexists", one_line: bool = False
+) -> None:
+    """Write in one of the formats; every task writes its own part.
+
+    With ``one_line`` no record of a CSV file spans lines: line breaks in cells
+    and names are written as ``\\n`` and ``\\r`` and a backslash as two, and an
+    empty last column named ``ONE_LINE`` says so.  :func:`read_products` then
+    splits the file and gives the cells as they were.
+    """
     fmt = detect_format(path) if fmt == "auto" else fmt
     if fmt in ("json", "jsonl"):
         df.write.mode(mode).option("ignoreNullFields", False).json(path)
     elif fmt == "csv":
         flat = flatten_rows(df)
+        if one_line:
+            flat.select(
+                *[_on_one_line(F.col(f"`{c}`")).alias(_name_on_one_line(c)) for c in sorted(flat.columns)], F.lit("").alias(ONE_LINE),
+            ).write.mode(mode).options(
+                header=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+            return
         flat.select(*[F.col(f"`{c}`") for c in sorted(flat.columns)]).write.mode(mode).options(
             header=True, escape='"', emptyValue="").csv(path)
     elif fmt == "xml":
@@ -161,6 +183,29 @@ def flatten_value(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(cell, F.lit(""))
 
 
+def _on_one_line(cell: Column) -> Column:
+    for plain, written in _WRITTEN:
+        cell = F.replace(cell, F.lit(plain), F.lit(written))
+    return cell
+
+
+def _broken_again(cell: Column) -> Column:
+    """The way back.  A pair of backslashes, found from the left, is one, and what lies between holds none but escapes."""
+    between = F.transform(F.split(cell, r"\\\\"), lambda p: F.replace(
+        F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.when(F.contains(cell, F.lit("\\")), F.array_join(between, "\\")).otherwise(cell)
+
+
+def _name_on_one_line(name: str) -> str:
+    for plain, written in _WRITTEN:
+        name = name.replace(plain, written)
+    return name
+
+
+def _name_broken_again(name: str) -> str:
+    return "\\".join(p.replace("\\n", "\n").replace("\\r", "\r") for p in name.split("\\\\"))
+
+
 def flatten_rows(df: DataFrame) -> DataFrame:
     return df.select(*[flatten_value(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
 
