@@ -206,7 +206,7 @@ def balanced_shards(docs: DataFrame, group: Column, shards: int = SHARDS) -> Dat
     fill = Window.partitionBy("grp").orderBy("shard")
     spans = cells.withColumn("stop", F.sum("n").over(fill)).groupBy("grp").agg(
         F.array_sort(F.collect_list(F.struct("stop", "shard"))).alias("spans"))
-    placed = _numbered_in_groups(linked, total).join(spans, "grp").withColumn(
+    placed = _numbered_in_groups(linked, spans, total).withColumn(
         "shard", F.expr("filter(spans, s -> s.stop > member)[0].shard")).drop("spans", "member")
 
     # documents without a link start anywhere; they come last in their shard and level the counts
@@ -216,14 +216,18 @@ def balanced_shards(docs: DataFrame, group: Column, shards: int = SHARDS) -> Dat
     return _level(state, total, shards)
 
 
-def _numbered_in_groups(linked: DataFrame, total: int) -> DataFrame:
-    """``member``: 0.. within each group.  Groups above a bucket are numbered in pieces."""
+def _numbered_in_groups(linked: DataFrame, spans: DataFrame, total: int) -> DataFrame:
+    """``member``: 0.. within each group, and what ``spans`` has for the group.
+
+    Groups above a bucket are numbered in pieces, and each piece, not the group, is
+    a key of the join with the rows; ``spans`` reaches the totals of the pieces.
+    """
     buckets = max(8, total // BUCKET_ROWS)
     dealt = linked.withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
     inside = Window.partitionBy("grp", "_bucket").orderBy("doc_id", "text_crc32")
     earlier = Window.partitionBy("grp").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = dealt.groupBy("grp", "_bucket").agg(F.count("*").alias("_held")).withColumn(
-        "_before", F.coalesce(F.sum("_held").over(earlier), F.lit(0))).drop("_held")
+        "_before", F.coalesce(F.sum("_held").over(earlier), F.lit(0))).drop("_held").join(spans, "grp")
     return (dealt.withColumn("_inside", F.row_number().over(inside) - 1).join(totals, ["grp", "_bucket"])
             .withColumn("member", F.col("_before") + F.col("_inside")).drop("_bucket", "_before", "_inside"))
 
@@ -237,17 +241,15 @@ def _level(state: DataFrame, total: int, shards: int) -> DataFrame:
     ranked = numbered(by, ["shard", "free"], ["doc_id", "text_crc32"], "_place", total).join(
         first, "shard", "left").withColumn(
         "_place", F.col("_place") + F.when(F.col("free") == 1, F.coalesce("linked_before", F.lit(0))).otherwise(0))
-    wanted = F.lit(total // shards) + F.when(F.col("shard") < total % shards, 1).otherwise(0)
-    ranked = cut_lineage(ranked.withColumn("_surplus", (F.col("_place") >= wanted).cast("int")))
-    held = ranked.where("_surplus = 0").groupBy("shard").agg(F.count("*").alias("held"))
-    lacking = state.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard")).join(
-        held, "shard", "left").select("shard", (wanted - F.coalesce("held", F.lit(0))).alias("lack"))
-    run = Window.orderBy("shard")  # one row per shard
-    lacking = lacking.withColumn("stop", F.sum("lack").over(run)).where("lack > 0")
-    rooms = lacking.agg(F.array_sort(F.collect_list(F.struct("stop", "shard"))).alias("rooms"))
+    wanted = [total // shards + (k < total % shards) for k in range(shards)]
+    ranked = cut_lineage(ranked.withColumn(
+        "_surplus", (F.col("_place") >= F.element_at(_listed(wanted), F.col("shard") + 1)).cast("int")))
+    held = _loads(ranked.where("_surplus = 0").groupBy("shard").agg(F.count("*").alias("n")), shards)
+    # the rooms one after the other, and the surplus rows laid along them
+    ends = [sum(wanted[:k + 1]) - sum(held[:k + 1]) for k in range(shards)]
     moved = numbered(ranked.where("_surplus = 1"), ["_surplus"], ["doc_id", "text_crc32"], "_turn", total)
-    moved = moved.join(rooms, F.lit(True)).withColumn(
-        "shard", F.expr("filter(rooms, r -> r.stop > _turn)[0].shard")).drop("rooms", "_turn")
+    moved = moved.withColumn("_ends", _listed(ends)).withColumn(
+        "shard", F.expr("size(filter(_ends, e -> e <= _turn))")).drop("_ends", "_turn")
     kept = ranked.where("_surplus = 0")
     final = cut_lineage(kept.unionByName(moved.select(kept.columns)).drop("_place", "_surplus", "free", "linked_before"))
     return numbered(final, ["shard"], ["doc_id", "text_crc32"], "slot", total)
