@@ -190,11 +190,14 @@ def fitted(cells: DataFrame, shares: list[int]) -> DataFrame:
 
 def balanced_shards(docs: DataFrame, group: Column, shards: int = SHARDS) -> DataFrame:
     """``docs`` with ``shard`` and ``slot``; documents with an equal ``group`` are linked, null links to nothing."""
-    rows = docs.withColumn("grp", group)
-    sizes = rows.where("grp IS NOT NULL").groupBy("grp").agg(F.count("*").alias("members")).where("members > 1")
-    work = cut_lineage(rows.join(sizes, "grp", "left").withColumn(
-        "grp", F.when(F.col("members").isNotNull(), F.col("grp"))))
-    total = work.count()
+    total = docs.count()
+    # a group meets its size in pieces, so that a group of a third of all rows is many keys
+    rows = docs.withColumn("grp", group).withColumn(
+        "_piece", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(max(8, total // BUCKET_ROWS))).cast("int"))
+    held = rows.where("grp IS NOT NULL").groupBy("grp", "_piece").agg(F.count("*").alias("held"))
+    sizes = held.groupBy("grp").agg(F.sum("held").alias("members")).where("members > 1")
+    work = cut_lineage(rows.join(held.drop("held").join(sizes, "grp"), ["grp", "_piece"], "left").withColumn(
+        "grp", F.when(F.col("members").isNotNull(), F.col("grp"))).drop("_piece"))
     capacity = max(1, total // shards)
 
     # linked documents: propagate on cells, then deal each group's documents out to its cells
