@@ -51,7 +51,8 @@ def numbered(df: DataFrame, by: list[str], order: list[str], number: str, rows:
     are numbered inside ``(by, bucket)`` and bucket totals are added.
     """
     buckets = max(8, rows // BUCKET_ROWS)
-    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    # a hash of its own: the one that chose the shard would put a shard's rows into few buckets
+    dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*order, F.lit("bucket")), F.lit(buckets)).cast("int"))
     inside = Window.partitionBy(*by, "_bucket").orderBy(*order)
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = dealt.groupBy(*by, "_bucket").agg(F.count("*").alias("_held")).withColumn(
