@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import text
 from vitrine.operators import extract as X
+from vitrine.plans import shapes
 
 P = X.Page()
 
@@ -147,3 +148,31 @@ def test_page_title_alone_is_no_product_heading(spark):
               "<b class=title>x</b>": True, '<b class="a>b title">x</b>': True, '<b class="ti&#116;le">x</b>': True}
     pages = spark.createDataFrame([(h,) for h in likely], "html string")
     assert {r["html"]: r["l"] for r in pages.select("html", F.col("html").rlike(X._LOOKS_LIKE_PRODUCT).alias("l")).collect()} == likely
+
+
+def _parts(folder, rows):
+    """A table ``part`` in one file, as one row group."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    keys = list(range(1, rows + 1))
+    pq.write_table(pa.table({
+        "p_partkey": pa.array(keys, pa.int64()), "p_name": [f"name {k}" for k in keys],
+        "p_brand": [f"Brand#{k % 7}" for k in keys], "p_type": [("LARGE", "SMALL")[k % 2] for k in keys],
+        "p_size": pa.array([k % 50 + 1 for k in keys], pa.int32()), "p_retailprice": [900.0 + k / 10 for k in keys],
+    }), f"{folder}/part.parquet")
+
+
+@pytest.mark.parametrize("made", [shapes.product_pages, shapes.listing_pages])
+def test_pages_of_one_file_are_dealt_evenly_over_tasks(spark, folder, made):
+    _parts(folder, 2000)
+    dealt = made(spark, folder).groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count(F.lit(1)).alias("n"), F.collect_list("page_id").alias("ids")).collect()
+    assert len(dealt) > 8
+    assert max(r["n"] for r in dealt) < 2 * min(r["n"] for r in dealt)
+    assert sorted(i for r in dealt for i in r["ids"]) == list(range(1, 2001))
+
+
+def test_pages_of_an_empty_table(spark, folder):
+    _parts(folder, 0)
+    assert shapes.product_pages(spark, folder).collect() == []

@@ -22,6 +22,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+# Parts that one task makes pages of, at most and at least.
+_MOST_PARTS, _LEAST_PARTS = 10_000, 100
+
+
+def dealt_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part``, its rows dealt evenly over tasks.
+
+    A part is some forty bytes in its file and a page of a thousand to read, so
+    a file that is one task to Spark's reader would keep a single core at work.
+    """
+    parts = table(spark, sf_dir, "part")
+    rows = parts.count()
+    tasks = max(-(-rows // _MOST_PARTS), min(rows // _LEAST_PARTS, 2 * spark.sparkContext.defaultParallelism), 1)
+    return parts.repartition(tasks)
+
+
 def dirty_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product records with every fault the cleaning chain repairs."""
     return table(spark, sf_dir, "part").selectExpr(
@@ -148,7 +164,7 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One product page per part, in four layouts; every twentieth is empty."""
     body = "CASE p_partkey % 4 " + " ".join(
         f"WHEN {i} THEN {layout}" for i, layout in enumerate(_LAYOUTS)) + " END"
-    made = table(spark, sf_dir, "part").selectExpr(
+    made = dealt_parts(spark, sf_dir).selectExpr(
         "p_partkey AS page_id", f"{_PAGE_URL} AS url",
         f"""CASE WHEN p_partkey % 20 = 19 THEN '<html><body><p>gone</p></body></html>'
               ELSE concat({_HEAD}, {body}, '</body></html>') END AS html""",
@@ -181,7 +197,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
       format_string('%.1f', p_retailprice), '</i><img class="product-image" src=" /i/', p_partkey, '.jpg ">',
       '<u data-category="', p_type, '"></u></div>')"""
     named = """concat('<a class="category-link" href="/category/', p_type, '"><b>', p_type, '</b> all</a>')"""
-    made = table(spark, sf_dir, "part").selectExpr(
+    made = dealt_parts(spark, sf_dir).selectExpr(
         "p_partkey AS page_id", f"concat('{SHOP}/page/', p_partkey) AS url",
         f"concat('<html><body>', {links}, {following}, '</body></html>') AS html",
         f"concat('<html><body><ul>', {cards}, '<li>', {cards}, '</ul></body></html>') AS card_html",
