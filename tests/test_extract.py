@@ -176,3 +176,26 @@ def test_pages_of_one_file_are_dealt_evenly_over_tasks(spark, folder, made):
 def test_pages_of_an_empty_table(spark, folder):
     _parts(folder, 0)
     assert shapes.product_pages(spark, folder).collect() == []
+
+
+READ = {
+    "ID_USED": X.product_id, "TITLE_USED": lambda p: F.struct(X.heading(p), X.volume(p)), "VOLUME_USED": X.volume,
+    "BRAND_USED": X.brand, "SKU_USED": X.sku, "CRUMBS_USED": X.breadcrumbs, "TAGS_USED": X.marketing_tags,
+    "CURRENT_USED": X.current_price, "ORIGINAL_USED": X.original_price, "IN_STOCK_USED": X.in_stock,
+    "COUNT_USED": X.stock_count, "STATUS_USED": X.stock_status, "MAIN_USED": X.main_image, "VIEWS_USED": X.view_360,
+    "VIDEO_USED": X.video_urls, "DESCRIPTION_USED": X.description,
+    "SPECIAL_USED": lambda p: F.struct(*[X.special_field(p, X.characteristics(p), f) for f in ("volume", "sku", "product_code")]),
+    "VOLUMES_USED": X.volume_variants, "COLORS_USED": X.color_variants, "JSON_VARIANTS_USED": X.json_variants,
+    "RATING_USED": lambda p: F.struct(X.rating(p), X.review_count(p)),
+}
+
+
+@pytest.mark.parametrize("used", sorted(READ))
+def test_a_field_needs_no_other_selectors_than_its_own(spark, folder, used):
+    _parts(folder, 40)
+    made = shapes.product_pages(spark, folder)
+    values = [
+        sorted(((r[0], str(r[1])) for r in X.product_pages(made, sels).select("page_id", READ[used](X.Page())).collect()))
+        for sels in (X.USED, getattr(X, used))]
+    assert len(values[0]) == 38 and values[0] == values[1]
+    assert len(set(getattr(X, used))) < len(set(X.USED)) / 2

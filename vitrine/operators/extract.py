@@ -157,6 +157,25 @@ CHARACTERISTICS_USED = _selectors_in((
     SPEC_ROWS, ROW_KEYS, ROW_VALUES, CELL, SPEC_LISTS, LIST_KEYS, LIST_VALUES, SPEC_DIVS, DIV_KEYS, DIV_KEY_TEXT,
     DIV_VALUES, DIV_VALUE_TEXT, LD_SCRIPT))
 GALLERY_USED = _selectors_in((GALLERY, JSON_SCRIPT))
+ID_USED = _selectors_in((ID_DIV, ID_INPUT))
+VOLUME_USED = _selectors_in((VOLUME_ATTR, VOLUME_TEXT, SPAN))
+TITLE_USED = [*_selectors_in(TITLES), *VOLUME_USED]
+BRAND_USED = _selectors_in((BRAND_TEXT, BRAND_ATTR, BRAND_LINK))
+SKU_USED = _selectors_in((SKU_ATTR, SKU_INPUT, LABEL))
+CRUMBS_USED, TAGS_USED = _selectors_in(CRUMBS), _selectors_in(TAGS)
+CURRENT_USED = _selectors_in((PRICE_NOW, PRICE_PLAIN, PRICE_ATTR, PRICE_SPAN))
+ORIGINAL_USED = _selectors_in((PRICE_OLD, PRICE_ORIGINAL, PRICE_OLD_ATTR, PRICE_OLD_PLAIN))
+IN_STOCK_USED = _selectors_in((BUY, IN_STOCK, IN_STOCK_TEXT, NO_STOCK, NO_STOCK_TEXT))
+COUNT_USED = [STOCK_COUNT]
+STATUS_USED = _selectors_in((STATUS_TEXT, PREORDER, ON_ORDER, NO_STOCK, IN_STOCK))
+MAIN_USED, VIEWS_USED = _selectors_in(MAIN_IMAGES), _selectors_in(VIEWS)
+VIDEO_USED = _selectors_in((VIDEO_SOURCE, VIDEO, FRAMES))
+DESCRIPTION_USED = _selectors_in((DESCRIPTION, DESCRIPTION_PART, DESCRIPTION_DIV, DESCRIPTION_P))
+SPECIAL_USED = [*CHARACTERISTICS_USED, *(Sel(attr=f"data-{attr}") for attr, _ in SPECIAL.values())]
+VOLUMES_USED = _selectors_in((VOLUME_OPTIONS, VOLUME_BUTTONS))
+COLORS_USED = _selectors_in((COLOR_OPTIONS, COLOR_BUTTONS, COLOR_LIST))
+JSON_VARIANTS_USED = _selectors_in((JSON_SCRIPT, VARIANT_LIST))
+RATING_USED = [RATING, REVIEWS]
 
 
 # ---------------------------------------------------------------------------

@@ -131,7 +131,7 @@ def page_depth(spark, sf):
 
 @register("likely_products", "H9", "SELECT p_partkey AS page_id FROM part WHERE p_partkey % 20 <> 19")
 def likely_products(spark, sf):
-    return extract.product_pages(product_pages(spark, sf)).select("page_id")
+    return extract.product_pages(product_pages(spark, sf), ()).select("page_id")
 
 
 @register("headed_pages", "H9", "SELECT page_id FROM pages WHERE contains(html, '<h1>')")

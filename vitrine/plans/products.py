@@ -15,11 +15,11 @@ _P = X.Page()
 _FROM = "(SELECT *, p_partkey AS k, p_partkey % 4 AS l FROM part WHERE p_partkey % 20 <> 19) AS p"
 
 
-def _parsed(spark, sf, used=X.USED):
+def _parsed(spark, sf, used):
     return X.product_pages(product_pages(spark, sf), used).withColumnRenamed("page_id", "k")
 
 
-def _take(spark, sf, used=X.USED, **columns):
+def _take(spark, sf, used, **columns):
     return _parsed(spark, sf, used).select("k", *[c.alias(n) for n, c in columns.items()])
 
 
@@ -30,7 +30,7 @@ def _shown(pairs):
 
 @register("product_ids", "X1", f"SELECT k, CASE WHEN l = 3 THEN 'p-' ELSE '' END || k AS product_id FROM {_FROM}")
 def product_ids(spark, sf):
-    return _take(spark, sf, product_id=X.product_id(_P))
+    return _take(spark, sf, X.ID_USED, product_id=X.product_id(_P))
 
 
 _VOLUME = "CASE WHEN l < 2 THEN p_size || ' мл' WHEN l = 2 THEN 'около ' || p_size || ' л' END"
@@ -38,44 +38,44 @@ _VOLUME = "CASE WHEN l < 2 THEN p_size || ' мл' WHEN l = 2 THEN 'около '
 
 @register("product_titles", "X2", f"SELECT k, p_name || coalesce(' ' || {_VOLUME}, '') AS title FROM {_FROM}")
 def product_titles(spark, sf):
-    picked = _take(spark, sf, heading=X.heading(_P), volume=X.volume(_P))
+    picked = _take(spark, sf, X.TITLE_USED, heading=X.heading(_P), volume=X.volume(_P))
     return picked.select("k", X.title(F.col("heading"), F.col("volume")).alias("title"))
 
 
 @register("product_volumes", "X3", f"SELECT k, {_VOLUME} AS volume FROM {_FROM}")
 def product_volumes(spark, sf):
-    return _take(spark, sf, volume=X.volume(_P))
+    return _take(spark, sf, X.VOLUME_USED, volume=X.volume(_P))
 
 
 @register("product_brands", "X4", f"SELECT k, CASE WHEN l < 3 THEN p_brand END AS brand FROM {_FROM}")
 def product_brands(spark, sf):
-    return _take(spark, sf, brand=X.brand(_P))
+    return _take(spark, sf, X.BRAND_USED, brand=X.brand(_P))
 
 
 @register("product_skus", "X5", f"SELECT k, CASE WHEN l < 3 THEN 'SKU-' || k END AS sku FROM {_FROM}")
 def product_skus(spark, sf):
-    return _take(spark, sf, sku=X.sku(_P))
+    return _take(spark, sf, X.SKU_USED, sku=X.sku(_P))
 
 
 @register("breadcrumbs", "X6", f"SELECT k, CASE WHEN l < 2 THEN 'Home|' || p_type ELSE '' END AS crumbs FROM {_FROM}")
 def breadcrumbs(spark, sf):
-    return _take(spark, sf, crumbs=F.array_join(X.breadcrumbs(_P), "|"))
+    return _take(spark, sf, X.CRUMBS_USED, crumbs=F.array_join(X.breadcrumbs(_P), "|"))
 
 
 @register("marketing_tags", "X7", f"""
     SELECT k, CASE WHEN l = 0 THEN p_type || '|Hit' WHEN l < 3 THEN p_type ELSE '' END AS tags FROM {_FROM}""")
 def marketing_tags(spark, sf):
-    return _take(spark, sf, tags=F.array_join(X.marketing_tags(_P), "|"))
+    return _take(spark, sf, X.TAGS_USED, tags=F.array_join(X.marketing_tags(_P), "|"))
 
 
 @register("current_prices", "X8", f"SELECT k, p_retailprice AS price FROM {_FROM}")
 def current_prices(spark, sf):
-    return _take(spark, sf, price=X.current_price(_P))
+    return _take(spark, sf, X.CURRENT_USED, price=X.current_price(_P))
 
 
 @register("original_prices", "X9", f"SELECT k, CASE WHEN l < 3 THEN round(p_retailprice + p_size, 2) END AS price FROM {_FROM}")
 def original_prices(spark, sf):
-    return _take(spark, sf, price=F.round(X.original_price(_P), 2))
+    return _take(spark, sf, X.ORIGINAL_USED, price=F.round(X.original_price(_P), 2))
 
 
 @register("price_data", "X10", f"""
@@ -83,7 +83,7 @@ def original_prices(spark, sf):
     SELECT k, p_retailprice AS current, original, CASE WHEN trunc((original - p_retailprice) / original * 100) > 0 THEN
       'Скидка ' || trunc((original - p_retailprice) / original * 100)::INT || '%' END AS sale_tag, 'RUB' AS currency FROM o""")
 def price_data(spark, sf):
-    picked = _take(spark, sf, now=X.current_price(_P), before=X.original_price(_P))
+    picked = _take(spark, sf, X.CURRENT_USED + X.ORIGINAL_USED, now=X.current_price(_P), before=X.original_price(_P))
     data = picked.select("k", X.price_data(F.col("now"), F.col("before")).alias("d"))
     return data.select("k", "d.current", F.round("d.original", 2).alias("original"), "d.sale_tag", "d.currency")
 
@@ -95,24 +95,25 @@ _STATUS = "CASE l WHEN 0 THEN 'Есть' WHEN 1 THEN 'В наличии' WHEN 2
 
 @register("in_stock", "X11", f"SELECT k, {_IN_STOCK} AS in_stock FROM {_FROM}")
 def in_stock(spark, sf):
-    return _take(spark, sf, in_stock=X.in_stock(_P))
+    return _take(spark, sf, X.IN_STOCK_USED, in_stock=X.in_stock(_P))
 
 
 @register("stock_counts", "X12", f"SELECT k, {_COUNT} AS stock_count FROM {_FROM}")
 def stock_counts(spark, sf):
-    return _take(spark, sf, stock_count=X.stock_count(_P))
+    return _take(spark, sf, X.COUNT_USED, stock_count=X.stock_count(_P))
 
 
 @register("stock_status", "X13", f"SELECT k, {_STATUS} AS status FROM {_FROM}")
 def stock_status(spark, sf):
-    return _take(spark, sf, status=X.stock_status(_P))
+    return _take(spark, sf, X.STATUS_USED, status=X.stock_status(_P))
 
 
 @register("stock_data", "X14", f"""
     SELECT k, coalesce({_IN_STOCK}, true) AS in_stock, coalesce({_COUNT}, 0) AS stock_count, {_STATUS} AS status, 0 AS regions
     FROM {_FROM}""")
 def stock_data(spark, sf):
-    picked = _take(spark, sf, a=X.in_stock(_P), c=X.stock_count(_P), s=X.stock_status(_P))
+    picked = _take(spark, sf, X.IN_STOCK_USED + X.COUNT_USED + X.STATUS_USED,
+                   a=X.in_stock(_P), c=X.stock_count(_P), s=X.stock_status(_P))
     return picked.select("k", X.stock_data(F.col("a"), F.col("c"), F.col("s")).alias("d")).select(
         "k", "d.in_stock", F.col("d.count").alias("stock_count"), "d.status", F.size("d.available_regions").alias("regions"))
 
@@ -129,7 +130,7 @@ _VIDEOS = f"""CASE WHEN l = 0 THEN '{SHOP}/s/' || k || '.mp4|https://www.youtube
 
 @register("main_images", "X15", f"SELECT k, {_MAIN} AS image FROM {_FROM}")
 def main_images(spark, sf):
-    return _take(spark, sf, image=X.main_image(_P))
+    return _take(spark, sf, X.MAIN_USED, image=X.main_image(_P))
 
 
 @register("gallery_images", "X16", f"SELECT k, {_GALLERY} AS images FROM {_FROM}")
@@ -140,23 +141,24 @@ def gallery_images(spark, sf):
 @register("json_images", "X17", f"""
     SELECT k, CASE WHEN l = 3 THEN '/j/' || k || '.png|/j/' || p_size || '.png' ELSE '' END AS images FROM {_FROM}""")
 def json_images(spark, sf):
-    return _take(spark, sf, images=F.array_join(F.expr(X.images_from_json(_P)), "|"))
+    return _take(spark, sf, [X.JSON_SCRIPT], images=F.array_join(F.expr(X.images_from_json(_P)), "|"))
 
 
 @register("views_360", "X18", f"SELECT k, {_VIEWS} AS images FROM {_FROM}")
 def views_360(spark, sf):
-    return _take(spark, sf, images=F.array_join(X.view_360(_P), "|"))
+    return _take(spark, sf, X.VIEWS_USED, images=F.array_join(X.view_360(_P), "|"))
 
 
 @register("video_urls", "X19", f"SELECT k, {_VIDEOS} AS videos FROM {_FROM}")
 def video_urls(spark, sf):
-    return _take(spark, sf, videos=F.array_join(X.video_urls(_P), "|"))
+    return _take(spark, sf, X.VIDEO_USED, videos=F.array_join(X.video_urls(_P), "|"))
 
 
 @register("assets", "X20", f"""
     SELECT k, {_MAIN} AS main_image, {_GALLERY} AS gallery, {_VIEWS} AS views, {_VIDEOS} AS videos, 0 AS cached FROM {_FROM}""")
 def assets(spark, sf):
-    picked = _take(spark, sf, m=X.main_image(_P), g=X.gallery_images(_P), v=X.view_360(_P), w=X.video_urls(_P))
+    picked = _take(spark, sf, X.MAIN_USED + X.GALLERY_USED + X.VIEWS_USED + X.VIDEO_USED,
+                   m=X.main_image(_P), g=X.gallery_images(_P), v=X.view_360(_P), w=X.video_urls(_P))
     data = picked.select("k", X.assets(F.col("m"), F.col("g"), F.col("v"), F.col("w")).alias("a"))
     return data.select(
         "k", "a.main_image", F.array_join("a.gallery_images", "|").alias("gallery"), F.array_join("a.view_360", "|").alias("views"),
@@ -168,7 +170,7 @@ _DESCRIPTION = "CASE WHEN l = 0 THEN p_name || ' by ' || p_brand ELSE p_name END
 
 @register("descriptions", "X21", f"SELECT k, {_DESCRIPTION} AS description FROM {_FROM}")
 def descriptions(spark, sf):
-    return _take(spark, sf, description=X.description(_P))
+    return _take(spark, sf, X.DESCRIPTION_USED, description=X.description(_P))
 
 
 _TABLE = """CASE WHEN l = 0 THEN 'ABV=крепкий; Vintage=нет; Объем=' || (p_size + 1) || ' мл; Крепость=' || p_size || '.5%; Страна=' || p_type ||
@@ -227,7 +229,7 @@ _SPECIAL = _ROUTED | {
 
 @register("special_fields", "X28", f"SELECT k, {', '.join(f'{v} AS {n}' for n, v in _SPECIAL.items())} FROM {_FROM}")
 def special_fields(spark, sf):
-    picked = _parsed(spark, sf).select("k", "nodes", X.characteristics(_P).alias("pairs"))
+    picked = _parsed(spark, sf, X.SPECIAL_USED).select("k", "nodes", X.characteristics(_P).alias("pairs"))
     return picked.select("k", *[X.special_field(_P, F.col("pairs"), n).alias(n) for n in _SPECIAL])
 
 
@@ -235,7 +237,7 @@ def special_fields(spark, sf):
     SELECT k, {_DESCRIPTION} AS description, {_SPECIAL['volume']} AS volume, {_SPECIAL['product_code']} AS product_code,
       [6, 2, 2, 5][l + 1] AS entry_count FROM {_FROM}""")
 def metadata(spark, sf):
-    picked = _parsed(spark, sf).select(
+    picked = _parsed(spark, sf, X.SPECIAL_USED + X.DESCRIPTION_USED).select(
         "k", "nodes", X.characteristics(_P).alias("pairs"), X.description(_P).alias("description"))
     meta = picked.select("k", X.metadata(_P, F.col("pairs"), F.col("description")).alias("m"))
     return meta.select("k", F.col("m.__description").alias("description"), "m.volume", "m.product_code",
@@ -249,17 +251,17 @@ _JSON_COUNT = "CASE WHEN l = 2 THEN 2 WHEN l = 3 THEN 1 ELSE 0 END"
 
 @register("volume_variants", "X30", f"SELECT k, {_VOLUMES} AS variants FROM {_FROM}")
 def volume_variants(spark, sf):
-    return _take(spark, sf, variants=F.array_join(X.volume_variants(_P), "|"))
+    return _take(spark, sf, X.VOLUMES_USED, variants=F.array_join(X.volume_variants(_P), "|"))
 
 
 @register("color_variants", "X31", f"SELECT k, {_COLORS} AS variants FROM {_FROM}")
 def color_variants(spark, sf):
-    return _take(spark, sf, variants=F.array_join(X.color_variants(_P), "|"))
+    return _take(spark, sf, X.COLORS_USED, variants=F.array_join(X.color_variants(_P), "|"))
 
 
 @register("json_variant_counts", "X32", f"SELECT k, {_JSON_COUNT} AS variant_count FROM {_FROM}")
 def json_variant_counts(spark, sf):
-    return _take(spark, sf, variant_count=X.json_variant_count(X.json_variants(_P)))
+    return _take(spark, sf, X.JSON_VARIANTS_USED, variant_count=X.json_variant_count(X.json_variants(_P)))
 
 
 @register("distinct_variants", "X33", "SELECT p_partkey AS k, p_name || '|' || p_brand AS variants FROM part")
@@ -282,7 +284,8 @@ def valid_variants(spark, sf):
 
 @register("variant_counts", "X35", f"SELECT k, [2, 3, 2, 1][l + 1] AS variant_count FROM {_FROM}")
 def variant_counts(spark, sf):
-    picked = _take(spark, sf, j=X.json_variants(_P), v=X.volume_variants(_P), c=X.color_variants(_P))
+    picked = _take(spark, sf, X.JSON_VARIANTS_USED + X.VOLUMES_USED + X.COLORS_USED,
+                   j=X.json_variants(_P), v=X.volume_variants(_P), c=X.color_variants(_P))
     return picked.select("k", X.variant_count(
         X.json_variant_count(F.col("j")), F.col("v"), F.col("c")).alias("variant_count"))
 
@@ -290,7 +293,7 @@ def variant_counts(spark, sf):
 @register("ratings", "X36", f"""
     SELECT k, CASE WHEN l = 0 THEN p_size % 5 + 0.5::DOUBLE END AS rating, CASE WHEN l = 0 THEN p_size END AS review_count FROM {_FROM}""")
 def ratings(spark, sf):
-    return _take(spark, sf, rating=X.rating(_P), review_count=X.review_count(_P))
+    return _take(spark, sf, X.RATING_USED, rating=X.rating(_P), review_count=X.review_count(_P))
 
 
 _PRODUCT = f"""SELECT CASE WHEN l = 3 THEN 'p-' ELSE '' END || k AS product_id, p_name || coalesce(' ' || {_VOLUME}, '') AS name,
