@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitrine.functions import text
+from vitrine.functions.nodes import Sel, _Index
 from vitrine.operators import extract as X
 from vitrine.plans import shapes
 
@@ -199,3 +200,10 @@ def test_a_field_needs_no_other_selectors_than_its_own(spark, folder, used):
         for sels in (X.USED, getattr(X, used))]
     assert len(values[0]) == 38 and values[0] == values[1]
     assert len(set(getattr(X, used))) < len(set(X.USED)) / 2
+
+
+def test_class_texts_are_looked_at_once():
+    index = _Index([Sel(cls="a"), Sel(cls_has=("b",))])
+    assert index._of_class(" a ") == index._of_class(" a ") != index._of_class(" b ")
+    index._of_class(f" {'a ' * 200}")
+    assert sorted(index.classes) == [" a ", " b "]
