@@ -163,3 +163,48 @@ def test_start_tags_close_up_to_the_nearest_fence():
     shown = [(f.tag, f.parent.tag) for f in found[1:]]
     assert shown == [("ul", "#page"), ("li", "ul"), ("ul", "li"), ("li", "ul"), ("li", "ul"), ("li", "ul"),
                      ("p", "#page"), ("div", "#page"), ("p", "div"), ("a", "#page"), ("div", "a"), ("a", "div")]
+
+
+def _read(pages, sels, shortest=None):
+    """Pages read one after the other; ``shortest`` 0 has every tag read by pattern."""
+    index = nodes._Index(sels)
+    tags = nodes._StartTags(nodes._Keep.of(sels), index)
+    if shortest is not None:
+        tags._SHORT = shortest
+    read = [nodes._read_page(p, frozenset(("a",)), tags) for p in pages]
+    return read, nodes._to_arrow(read, index)
+
+
+def test_tags_known_by_their_text_are_read_as_by_pattern():
+    rng = random.Random(7)
+    bits = [
+        "<a href='/x' rel=next>", "<a class=box>go", "<a href=/x/>", "<b class=\"a&#98;\">t", "</a>", "</b>", "</ b>", "</b \"x>", "<P/>",
+        " x ", "<", "<<", ">", "< a", "<a b=\"1>", "<a b='", "\"", "'", "<p <b>", "<p =x>", "<p a=x\"y c=\"z>", "<p a=\"x\"b=y>", "<p a= >",
+        "<p a=\"<\">", "<p a=\">\">", "<p a='1\">", "<x\"y>", "<script>", "</script>", "<!-- c -->", "<!--", "<?x>", "<li>", "<td>",
+        "<table>", "</table>", "<label>A&amp;b</label>", f"<p {'z ' * 120}>", "\n",
+    ]
+    pages = ["".join(rng.choices(bits, k=rng.randrange(60))) for _ in range(2000)]
+    sels = [Sel("a"), Sel(cls="box"), Sel(cls="ab"), Sel("p"), Sel("li", is_last=True), Sel("label", within=Sel("p")), Sel(attr="b"), Sel("a", contains="go")]
+    assert _read(pages, sels)[1].equals(_read(pages, sels, shortest=0)[1])
+
+
+def test_tags_met_before_are_not_looked_at_by_pattern(monkeypatch):
+    class Counting:
+        looks = 0
+
+        def search(self, html, at):
+            Counting.looks += 1
+            return token.search(html, at)
+
+    token = nodes._TOKEN
+    monkeypatch.setattr(nodes, "_TOKEN", Counting())
+    page = "<div class='a'><p>x</p><img src=y></div>" * 20
+    read, _ = _read([page] * 50, [Sel(cls="a"), Sel("p")])
+    assert [len(r) for r in read] == [41] * 50 and Counting.looks <= 1
+
+
+def test_signs_that_open_no_tag_take_linear_time():
+    for page in ("< " * 200_000 + ">", "<1" * 200_000, "<" * 200_000, "</ " * 200_000 + ">"):
+        began = time.perf_counter()
+        nodes._read_page(page, frozenset())
+        assert time.perf_counter() - began < 3
