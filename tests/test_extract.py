@@ -174,6 +174,14 @@ def test_pages_of_one_file_are_dealt_evenly_over_tasks(spark, folder, made):
     assert sorted(i for r in dealt for i in r["ids"]) == list(range(1, 2001))
 
 
+def test_the_source_of_a_page_is_tested_where_the_page_was_dealt_to(spark, folder):
+    _parts(folder, 200)
+    found = X.product_pages(shapes.product_pages(spark, folder), X.CURRENT_USED)
+    above, below = found._jdf.queryExecution().optimizedPlan().toString().split("Repartition ")
+    assert "RLIKE" in above and "RLIKE" not in below
+    assert sorted(r["page_id"] for r in found.collect()) == [k for k in range(1, 201) if k % 20 != 19]
+
+
 def test_pages_of_an_empty_table(spark, folder):
     _parts(folder, 0)
     assert shapes.product_pages(spark, folder).collect() == []

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vitrine.functions.text import settled
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -170,7 +172,8 @@ def product_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
               ELSE concat({_HEAD}, {body}, '</body></html>') END AS html""",
         "CAST(p_size AS STRING) AS category_id", "concat('meta ', p_type) AS category_name",
     )
-    return made
+    # Made where the parts were dealt to: no test on the source of a page moves below the dealing, into one task.
+    return made.withColumn("html", settled(F.col("html")))
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
