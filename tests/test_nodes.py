@@ -208,3 +208,15 @@ def test_signs_that_open_no_tag_take_linear_time():
         began = time.perf_counter()
         nodes._read_page(page, frozenset())
         assert time.perf_counter() - began < 3
+
+
+def test_elements_that_are_not_wanted_take_up_little():
+    page = ("<div><i>x</i><u class=b>1</u><br><img src=q><u class=b>2<i>y</i></u><div>SKU<label class=b>k</label>v</div></div>"
+            "<p><u class=b>3</p><u class=b>4</i></u></div>")
+    keep = nodes._Keep.of([Sel(cls="b")])
+    found = nodes._read_page(page, frozenset(("a",)), nodes._StartTags(keep, None))
+    whole = [n for n in nodes._read_page(page, frozenset(("a",))) if n.tag == "#page" or n.cls == " b "]
+    told = ("idx", "last", "tag", "cls", "attrs", "first", "is_last", "pieces", "inner", "start", "stop")
+    assert [[getattr(n, t) for t in told] for n in found] == [[getattr(n, t) for t in told] for n in whole]
+    assert [n.parent and (n.parent.idx, n.parent.pieces) for n in found] == [n.parent and (n.parent.idx, n.parent.pieces) for n in whole]
+    assert not any(hasattr(n.parent, "attrs") for n in found if n.parent is not None and n.parent.tag != "#page")
